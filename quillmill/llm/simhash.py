@@ -1,0 +1,251 @@
+"""Near duplicates by SimHash: a binary trie of fingerprints is joined with itself.
+
+Fingerprint: 128 bits, each the majority vote over the distinct words of a text (runs of letters and digits, lower
+case). Two texts are near duplicates if their fingerprints differ in at most `budget` bits; groups are the connected
+components of that relation.
+
+Join: the bits are cut into `blocks` blocks. If two fingerprints differ in at most `budget` bits, then some block holds
+at most budget // blocks of them, so the trie is built once per block with that block's bits on top. A traversal starts
+with the pair (root, root), goes down in both nodes at once, adds up the bits in which the two paths differ, and drops
+a pair of nodes as soon as the sum exceeds what the block, or below the block the whole fingerprint, allows. Where the
+two nodes hold few fingerprints, these are compared directly. Every pair within the budget is met; nothing is capped.
+
+Distribution: the top levels of the traversal are unrolled into keys (block, node, node), so that each task gets the
+fingerprints below one pair of nodes. Their depth follows from the number of distinct fingerprints. Tasks return a
+spanning forest of the pairs that they find, so their output is linear however large a group is.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from quillmill.llm.components import connected_components
+from quillmill.llm.joins import with_ids
+from quillmill.llm.ragged import EDGE, LETTER, NUMBER, U64, char_classes, code_points, mix64, slices_of, span_hashes, word_spans
+from quillmill.llm.scratch import Scratch
+
+BITS, BUDGET, BLOCKS = 128, 20, 7
+#: Distinct fingerprints below one node of the top levels; a task holds at most twice as many.
+NODE_SIZE = 1 << 20
+SLICE_CHARS = 1 << 21
+LEAF_PAIRS = 16
+FRONTIER = 1 << 20
+
+
+def fingerprint_texts(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Fingerprints as (n, 2) words of 64 bits, and which texts have one. Blank texts have none.
+
+    A text with characters but no word counts as one feature, so that its exact copies still agree.
+    """
+    cps, bounds = code_points([t.lower() for t in texts])
+    kinds = char_classes()[cps]
+    starts, ends = word_spans((kinds == LETTER) | (kinds == NUMBER))
+    hashes = span_hashes(cps, starts, ends)
+    of_text = np.searchsorted(starts, bounds)
+    out, has = np.zeros((len(texts), 2), U64), np.zeros(len(texts), bool)
+    whole = span_hashes(cps, bounds[:-1], bounds[1:] - 1)
+    for i, text in enumerate(texts):
+        words = np.unique(hashes[of_text[i] : of_text[i + 1]])
+        if not len(words):
+            if not text.strip():
+                continue
+            words = whole[i : i + 1]
+        pair = np.stack([mix64(words ^ U64(0x243F6A8885A308D3)), mix64(words ^ U64(0x13198A2E03707344))], 1)
+        votes = np.unpackbits(pair.view(np.uint8).reshape(-1, 16), axis=1).sum(0, dtype=np.int64)
+        out[i] = np.packbits(votes * 2 > len(words)).view(U64)
+        has[i] = True
+    return out, has
+
+
+def _fingerprint_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        ids, texts = batch.column(0), batch.column(1).to_pylist()
+        for a, b in slices_of([len(t) for t in texts], SLICE_CHARS):
+            prints, has = fingerprint_texts(texts[a:b])
+            keep = np.flatnonzero(has)
+            words = prints[keep].view(np.int64)
+            yield pa.RecordBatch.from_arrays([ids.take(pa.array(keep + a)), pa.array(words[:, 0]), pa.array(words[:, 1])], names=["doc_id", "h0", "h1"])
+
+
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, h0, h1) of every row that has an id and a text that isn't blank."""
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).dropna()
+    return rows.mapInArrow(_fingerprint_batches, "doc_id long, h0 long, h1 long")
+
+
+def _masks(depth: int, most: int) -> list[int]:
+    return [m for m in range(1 << depth) if m.bit_count() <= most]
+
+
+def _rotations(prints: DataFrame, blocks: int) -> DataFrame:
+    """One row per block, with that block's bits first in (hi, lo)."""
+    turned = []
+    for r in range(blocks):
+        shift = BITS * r // blocks
+        a, b = (F.col("h0"), F.col("h1")) if shift < 64 else (F.col("h1"), F.col("h0"))
+        s = shift % 64
+        hi, lo = (a, b) if not s else (F.shiftleft(a, s).bitwiseOR(F.shiftrightunsigned(b, 64 - s)), F.shiftleft(b, s).bitwiseOR(F.shiftrightunsigned(a, 64 - s)))
+        turned.append(F.struct(F.lit(r).alias("r"), hi.alias("hi"), lo.alias("lo")))
+    return prints.select("rep", F.explode(F.array(*turned)).alias("x")).select("rep", "x.*")
+
+
+class _Forest:
+    """Union-find over positions, for many pairs at once."""
+
+    def __init__(self, n: int):
+        self.parent = np.arange(n)
+
+    def add(self, a: np.ndarray, b: np.ndarray) -> None:
+        p = self.parent
+        while len(a):
+            a, b = p[a], p[b]
+            different = a != b
+            a, b = a[different], b[different]
+            np.minimum.at(p, np.maximum(a, b), np.minimum(a, b))
+            while True:
+                shorter = p[p]
+                if np.array_equal(shorter, p):
+                    break
+                p[:] = shorter
+
+
+def trie_join(a: np.ndarray, b: np.ndarray | None, block: int, depth: int, blocks: int = BLOCKS, budget: int = BUDGET) -> tuple[np.ndarray, np.ndarray]:
+    """Forest of the pairs within the budget, as (position, root), among codes or between two sorted sets of codes.
+
+    Codes are (n, 2) words, sorted, with the block on top. a and b are the codes below two nodes at `depth`; b is None
+    if it is one node. Positions in b count on from those in a.
+    """
+    width = BITS * (block + 1) // blocks - BITS * block // blocks
+    allowed = budget // blocks
+    codes = a if b is None else np.concatenate([a, b])
+    hi, lo = codes[:, 0].copy(), codes[:, 1].copy()
+    forest, n = _Forest(len(codes)), len(a)
+    if not n or len(codes) == n and b is not None:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    start = (np.array([0]), np.array([n]), np.array([0 if b is None else n]), np.array([n if b is None else len(codes)]))
+    begun = 0 if b is None else int(np.bitwise_count((hi[0] ^ hi[n]) >> U64(64 - depth))) if depth else 0
+    ones: dict[int, np.ndarray] = {}
+
+    def split(level: int, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        if level not in ones:
+            word, at = (hi, 63 - level) if level < 64 else (lo, 127 - level)
+            ones[level] = np.concatenate([[0], np.cumsum((word >> U64(at)) & U64(1), dtype=np.int64)])
+        return high - (ones[level][high] - ones[level][low])
+
+    def compare(al, ah, bl, bh) -> None:
+        size = (ah - al) * (bh - bl)
+        total = np.cumsum(size)
+        cut = 0
+        while cut < len(size):
+            upto = max(cut + 1, int(np.searchsorted(total, (total[cut - 1] if cut else 0) + FRONTIER * 4, "right")))
+            part = slice(cut, upto)
+            rows = np.repeat(np.arange(cut, upto), size[part])
+            k = np.arange(len(rows)) - np.repeat(total[part] - size[part] - (total[cut - 1] if cut else 0), size[part])
+            wide = (bh - bl)[rows]
+            i, j = al[rows] + k // wide, bl[rows] + k % wide
+            good = i < j
+            i, j = i[good], j[good]
+            near = np.bitwise_count(hi[i] ^ hi[j]) + np.bitwise_count(lo[i] ^ lo[j]) <= budget
+            forest.add(i[near], j[near])
+            cut = upto
+
+    stack = [(depth, *start, np.array([begun]))]
+    while stack:
+        level, al, ah, bl, bh, err = stack.pop()
+        if len(al) > FRONTIER:
+            half = len(al) // 2
+            stack += [(level, *(x[:half] for x in (al, ah, bl, bh, err))), (level, *(x[half:] for x in (al, ah, bl, bh, err)))]
+            continue
+        few = ((ah - al) * (bh - bl) <= LEAF_PAIRS) | (level >= BITS)
+        if few.any():
+            compare(al[few], ah[few], bl[few], bh[few])
+            rest = ~few
+            al, ah, bl, bh, err = (x[rest] for x in (al, ah, bl, bh, err))
+        if not len(al):
+            continue
+        am, bm = split(level, al, ah), split(level, bl, bh)
+        other = al != bl  # below one and the same node, (1, 0) mirrors (0, 1)
+        al, ah, bl, bh, err = (
+            np.concatenate(x)
+            for x in (
+                (al, am, al, am[other]), (am, ah, am, ah[other]), (bl, bm, bm, bl[other]), (bm, bh, bh, bm[other]), (err, err, err + 1, err[other] + 1),
+            )
+        )
+        good = (ah > al) & (bh > bl) & (err <= (allowed if level < width else budget))
+        stack.append((level + 1, *(x[good] for x in (al, ah, bl, bh, err))))
+    member = np.flatnonzero(forest.parent != np.arange(len(codes)))
+    return member, forest.parent[member]
+
+
+def _join_task(block: int, depth: int, node_a: int, node_b: int, rep: np.ndarray, hi: np.ndarray, lo: np.ndarray) -> pd.DataFrame:
+    hi, lo = hi.view(U64), lo.view(U64)
+    order = np.lexsort([lo, hi])
+    rep, codes = rep[order], np.stack([hi[order], lo[order]], 1)
+    if node_a == node_b:
+        member, root = trie_join(codes, None, block, depth)
+    else:
+        n = int(np.searchsorted(codes[:, 0] >> U64(64 - depth), U64(node_b)))
+        member, root = trie_join(codes[:n], codes[n:], block, depth)
+    return pd.DataFrame({"u": rep[member], "v": rep[root]})
+
+
+def near_duplicate_edges(distinct: DataFrame, n: int, node_size: int = NODE_SIZE) -> DataFrame:
+    """(u, v): a forest per task over distinct fingerprints (rep, h0, h1), of which there are n."""
+    depth = max(0, (n - 1) // node_size).bit_length()
+    allowed = BUDGET // BLOCKS
+    turned = _rotations(distinct, BLOCKS)
+    node = F.shiftrightunsigned("hi", 64 - depth).cast("int") if depth else F.lit(0)
+    masks = F.explode(F.array(*map(F.lit, _masks(depth, allowed))))
+    keyed = turned.withColumn("node", node).withColumn("mask", masks).withColumn("other", F.col("node").bitwiseXOR(F.col("mask")))
+    keyed = keyed.select("r", F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"), "rep", "hi", "lo")
+    tasks = BLOCKS * (1 << depth) * (len(_masks(depth, allowed)) + 1) // 2
+
+    def run(key, rows):
+        return _join_task(*(int(key[0]), depth, int(key[1]), int(key[2])), *(rows[c].to_numpy() for c in ("rep", "hi", "lo")))
+
+    # A number given by hand keeps the tasks apart: they are short of bytes, but not of work.
+    spread = keyed.repartition(min(4 * tasks, 20_000), "r", "a", "b")
+    return spread.groupBy("r", "a", "b").applyInPandas(run, "u long, v long")
+
+
+def near_duplicate_members(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", node_size: int = NODE_SIZE) -> DataFrame:
+    """(doc_id, group_id): every document that has a near duplicate, and the least doc_id of its group.
+
+    Rows with a null id, a null text or a blank text belong to no group. Rows that repeat a doc_id count once per
+    fingerprint. An empty table gives an empty one. Other columns aren't read.
+    """
+    scratch = Scratch(spark, "simhash")
+    prints = scratch.write(fingerprints(docs, id_col, text_col), "prints")
+    distinct = scratch.write(prints.groupBy("h0", "h1").agg(F.min("doc_id").alias("rep")), "distinct")
+    edges = near_duplicate_edges(distinct, distinct.count(), node_size)
+    # A document with several texts ties its fingerprints together.
+    pairs = prints.select("doc_id", "h0", "h1").distinct().join(distinct, ["h0", "h1"]).where("doc_id <> rep").select(F.col("doc_id").alias("u"), F.col("rep").alias("v"))
+    labels = connected_components(edges.unionByName(pairs), scratch)
+    return labels.select(F.col("id").alias("doc_id"), F.col("label").alias("group_id"))
+
+
+def near_duplicate_groups(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """One row per group of near duplicates: the least doc_id, which stays, and all ids in order."""
+    members = near_duplicate_members(spark, docs)
+    return members.groupBy(F.col("group_id").alias("kept_doc_id")).agg(F.array_sort(F.collect_list("doc_id")).alias("doc_ids"))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """docs without all but one document of each group; the one with the least doc_id stays.
+
+    Rows with a null id, a null text or a blank text all stay. Of rows that agree in id and text, one stays.
+    """
+    scratch = Scratch(spark, "dedup")
+    members = near_duplicate_members(spark, docs)
+    gone = scratch.write(members.where("doc_id <> group_id").select("doc_id"), "gone")
+    again = scratch.write(docs.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id"), "again")
+    kept = with_ids(docs, gone, "left_anti")
+    if again.isEmpty():
+        return kept
+    once, more = with_ids(kept, again, "left_anti"), with_ids(kept, again, "left_semi")
+    return once.unionByName(more.dropDuplicates(["doc_id", "text"]).select(once.columns))
