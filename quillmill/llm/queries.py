@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillmill.llm import packing, quality, simhash, toxicity
+from quillmill.llm import bpe, packing, quality, shards, simhash, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,14 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicate_groups(spark, table(spark, sf_dir, "documents"))
 
 
+def op5_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shards.training_order(spark, table(spark, sf_dir, "documents"))
+
+
+def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_decode(table(spark, sf_dir, "documents"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -27,5 +35,5 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op3_simhash_near_dedup, op8_toxicity, op9_quality_rules)}
+QUERIES = {name: f for name, f in sorted(globals().items()) if name.startswith("op")}
 ORACLES: dict[str, str] = {}
