@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillmill.llm import bpe, packing, quality, shards, simhash, topk, toxicity, warc
+from quillmill.llm import bpe, html_diff, packing, quality, shards, simhash, topk, toxicity, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,6 +15,10 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(spark, table(spark, sf_dir, "documents"))
 
 
+def op2_page_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_diff.page_differences(spark, table(spark, sf_dir, "pages"))
+
+
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicate_groups(spark, table(spark, sf_dir, "documents"))
 
