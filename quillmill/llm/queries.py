@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillmill.llm import bpe, html_diff, packing, quality, shards, simhash, topk, toxicity, warc
+from quillmill.llm import bpe, html_diff, licenses, packing, quality, shards, simhash, topk, toxicity, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -51,5 +51,9 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_scan(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {name: f for name, f in sorted(globals().items()) if name.startswith(("op", "warc_"))}
 ORACLES = {"op7_exact_top_k": topk.top_k_sql(), "warc_capture_fields": warc.CAPTURE_FIELDS_SQL}
