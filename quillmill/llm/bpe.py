@@ -18,12 +18,13 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from quillmill.llm.ragged import EDGE, LETTER, NUMBER, OTHER, SPACE, U64, char_classes, code_points, ragged_positions, slices_of, span_hashes
+from quillmill.llm.ragged import EDGE, LETTER, SPACE, U64, char_classes, code_points, cut_sentence, ragged_positions, slices_of, span_hashes
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
-SLICE_CHARS = 1 << 21
+#: Characters encoded at a time; a longer text is encoded in parts that end where a piece ends.
+SLICE_CHARS = 1 << 19
 #: Pieces kept between batches; a full memory is emptied.
-MEMORY_PIECES = 1_500_000
+MEMORY_PIECES = 500_000
 _NONE = np.int64(1 << 40)
 
 
@@ -206,7 +207,11 @@ def _token_lists(tokens: np.ndarray, offsets: np.ndarray) -> pa.ListArray:
 def encoded_slices(encoder: Encoder, texts: list[str | None]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     plain = [t or "" for t in texts]
     for a, b in slices_of([len(t) for t in plain], SLICE_CHARS):
-        yield a, b, *encoder.encode(plain[a:b])
+        if len(plain[a]) <= SLICE_CHARS:
+            yield a, b, *encoder.encode(plain[a:b])
+        else:
+            tokens = np.concatenate([encoder.encode([part])[0] for part in cut_sentence(plain[a], SLICE_CHARS)])
+            yield a, b, tokens, np.array([0, len(tokens)])
 
 
 def encode(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
@@ -227,7 +232,6 @@ def encode(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
                     lists = pc.if_else(missing, pa.scalar(None, lists.type), lists)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), lists], names=["doc_id", "token_ids"])
 
-
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return rows.mapInArrow(run, "doc_id long, token_ids array<int>")
 

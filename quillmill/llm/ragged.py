@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
 from collections.abc import Iterator
 
@@ -96,3 +97,24 @@ def slices_of(lengths: list[int], most: int) -> Iterator[tuple[int, int]]:
         held += n + 1
     if begin < len(lengths):
         yield begin, len(lengths)
+
+
+_AFTER_WORD = re.compile(r"\W")
+_BLANK_IN_SENTENCE = re.compile(r"(?<=\w) (?=\w)")
+
+
+def cut_text(text: str, size: int, where: re.Pattern = _AFTER_WORD) -> Iterator[str]:
+    """The whole text in parts of about `size` characters, cut only where no word goes on.
+
+    A part may be longer where no such place follows; together the parts are the text.
+    """
+    begin = 0
+    while len(text) - begin > size and (found := where.search(text, begin + size)) and found.start() > begin:
+        yield text[begin : found.start()]
+        begin = found.start()
+    yield text[begin:]
+
+
+def cut_sentence(text: str, size: int) -> Iterator[str]:
+    """The same, cut only before a single blank between two words."""
+    return cut_text(text, size, _BLANK_IN_SENTENCE)
