@@ -22,51 +22,72 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from quillmill.llm.components import connected_components
 from quillmill.llm.joins import with_ids
-from quillmill.llm.ragged import EDGE, LETTER, NUMBER, U64, char_classes, code_points, mix64, slices_of, span_hashes, word_spans
+from quillmill.llm.ragged import LETTER, NUMBER, U64, char_classes, code_points, cut_text, mix64, slices_of, span_hashes, word_spans
 from quillmill.llm.scratch import Scratch
 
 BITS, BUDGET, BLOCKS = 128, 20, 7
 #: Distinct fingerprints below one node of the top levels; a task holds at most twice as many.
 NODE_SIZE = 1 << 20
-SLICE_CHARS = 1 << 21
+#: Characters hashed at a time, and words voting at a time.
+SLICE_CHARS, VOTE_WORDS = 1 << 18, 1 << 14
 LEAF_PAIRS = 16
-FRONTIER = 1 << 20
+#: Pairs of nodes, and twice as many pairs of fingerprints, held at a time; the rest wait their turn.
+FRONTIER = 1 << 17
+
+
+def _votes(words: np.ndarray) -> np.ndarray:
+    """Bits set among the 128 of each word's hash."""
+    total = np.zeros(BITS, np.int64)
+    for k in range(0, len(words), VOTE_WORDS):
+        part = words[k : k + VOTE_WORDS]
+        pair = np.stack([mix64(part ^ U64(0x243F6A8885A308D3)), mix64(part ^ U64(0x13198A2E03707344))], 1)
+        total += np.unpackbits(pair.view(np.uint8).reshape(-1, 16), axis=1).sum(0, dtype=np.int64)
+    return total
 
 
 def fingerprint_texts(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Fingerprints as (n, 2) words of 64 bits, and which texts have one. Blank texts have none.
 
-    A text with characters but no word counts as one feature, so that its exact copies still agree.
+    A text with characters but no word counts as one feature, so that its exact copies still agree. Long texts are
+    hashed in parts, so memory doesn't grow with them but for the hashes of their words.
     """
-    cps, bounds = code_points([t.lower() for t in texts])
-    kinds = char_classes()[cps]
-    starts, ends = word_spans((kinds == LETTER) | (kinds == NUMBER))
-    hashes = span_hashes(cps, starts, ends)
-    of_text = np.searchsorted(starts, bounds)
-    out, has = np.zeros((len(texts), 2), U64), np.zeros(len(texts), bool)
-    whole = span_hashes(cps, bounds[:-1], bounds[1:] - 1)
+    owners, parts = [], []
     for i, text in enumerate(texts):
-        words = np.unique(hashes[of_text[i] : of_text[i + 1]])
-        if not len(words):
+        for part in cut_text(text.lower(), SLICE_CHARS):
+            owners.append(i)
+            parts.append(part)
+    words: list[list[np.ndarray]] = [[] for _ in texts]
+    for a, b in slices_of([len(p) for p in parts], SLICE_CHARS):
+        cps, bounds = code_points(parts[a:b])
+        kinds = char_classes()[cps]
+        starts, ends = word_spans((kinds == LETTER) | (kinds == NUMBER))
+        hashes = span_hashes(cps, starts, ends)
+        at = np.searchsorted(starts, bounds)
+        for k in np.flatnonzero(at[1:] > at[:-1]).tolist():
+            words[owners[a + k]].append(np.unique(hashes[at[k] : at[k + 1]]))
+    out, has = np.zeros((len(texts), 2), U64), np.zeros(len(texts), bool)
+    for i, (text, found) in enumerate(zip(texts, words)):
+        if not found:
             if not text.strip():
                 continue
-            words = whole[i : i + 1]
-        pair = np.stack([mix64(words ^ U64(0x243F6A8885A308D3)), mix64(words ^ U64(0x13198A2E03707344))], 1)
-        votes = np.unpackbits(pair.view(np.uint8).reshape(-1, 16), axis=1).sum(0, dtype=np.int64)
-        out[i] = np.packbits(votes * 2 > len(words)).view(U64)
+            found = [np.array([xxhash.xxh3_64_intdigest(text.lower().encode("utf-8", "surrogatepass"))], U64)]
+        features = found[0] if len(found) == 1 else np.unique(np.concatenate(found))
+        out[i] = np.packbits(_votes(features) * 2 > len(features)).view(U64)
         has[i] = True
     return out, has
 
 
 def _fingerprint_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        ids, texts = batch.column(0), batch.column(1).to_pylist()
-        for a, b in slices_of([len(t) for t in texts], SLICE_CHARS):
-            prints, has = fingerprint_texts(texts[a:b])
+        ids, texts = batch.column(0), batch.column(1)
+        for a, b in slices_of(pc.utf8_length(texts).to_pylist(), 4 * SLICE_CHARS):
+            prints, has = fingerprint_texts(texts.slice(a, b - a).to_pylist())
             keep = np.flatnonzero(has)
             words = prints[keep].view(np.int64)
             yield pa.RecordBatch.from_arrays([ids.take(pa.array(keep + a)), pa.array(words[:, 0]), pa.array(words[:, 1])], names=["doc_id", "h0", "h1"])
@@ -142,7 +163,7 @@ def trie_join(a: np.ndarray, b: np.ndarray | None, block: int, depth: int, block
         total = np.cumsum(size)
         cut = 0
         while cut < len(size):
-            upto = max(cut + 1, int(np.searchsorted(total, (total[cut - 1] if cut else 0) + FRONTIER * 4, "right")))
+            upto = max(cut + 1, int(np.searchsorted(total, (total[cut - 1] if cut else 0) + FRONTIER * 2, "right")))
             part = slice(cut, upto)
             rows = np.repeat(np.arange(cut, upto), size[part])
             k = np.arange(len(rows)) - np.repeat(total[part] - size[part] - (total[cut - 1] if cut else 0), size[part])

@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quillmill.llm.ragged import LETTER, char_classes, code_points, mix64, powers, slices_of, word_spans, U64
+from quillmill.llm.ragged import LETTER, U64, char_classes, code_points, cut_text, mix64, powers, slices_of, word_spans
 
 #: Labelled documents that are used at most, of each class: half to train, half to calibrate. The only bound here.
 SAMPLE_PER_CLASS = 6000
@@ -38,7 +38,8 @@ LEVEL = 3
 ORDINARY_BYTES, TOXIC_BYTES = 32_768, 4_096
 #: A stem is told apart by its log ratio of document frequencies and by G, the log-likelihood ratio.
 STEM_LOG_RATIO, STEM_G, STEM_DOCUMENTS = 3.0, 15.0, 3
-SLICE_CHARS = 1 << 20
+#: Characters recoded at a time; longer texts are recoded in parts.
+SLICE_CHARS = 1 << 18
 
 
 @dataclass(frozen=True)
@@ -51,6 +52,14 @@ class ToxicityModel:
 
 def recode(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(codes, offsets, bounds): a code per letter, where each word starts among them, each text's first word."""
+    if len(texts) == 1 and len(texts[0]) > 2 * SLICE_CHARS:  # memory must not grow tenfold with a long text
+        parts = [_recode([p])[:2] for p in cut_text(texts[0], SLICE_CHARS)]
+        lengths = np.concatenate([np.diff(o) for _, o in parts])
+        return np.concatenate([c for c, _ in parts]), np.concatenate([[0], np.cumsum(lengths)]), np.array([0, len(lengths)])
+    return _recode(texts)
+
+
+def _recode(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     cps, starts = code_points([t.lower() for t in texts])
     first, last = word_spans(char_classes()[cps] == LETTER)
     lengths = last - first
