@@ -40,6 +40,8 @@ ORDINARY_BYTES, TOXIC_BYTES = 32_768, 4_096
 STEM_LOG_RATIO, STEM_G, STEM_DOCUMENTS = 3.0, 15.0, 3
 #: Characters recoded at a time; longer texts are recoded in parts.
 SLICE_CHARS = 1 << 18
+#: Shares of windows that calibration tries.
+SHARES = (0.0, 0.01, 0.02, 0.03, 0.045, 0.06, 0.08, 0.1, 0.12, 0.15, 0.2)
 
 
 @dataclass(frozen=True)
@@ -162,12 +164,16 @@ def fit(toxic: list[str], ordinary: list[str], seed: int = 7) -> ToxicityModel |
     dictionaries = _content(plain, ORDINARY_BYTES), _content(marked, TOXIC_BYTES)
     pair = _compressors(*dictionaries)
     held_out = [(y, _distances(pair, windows_of(t))) for y, texts, n in ((True, toxic, cut[0]), (False, ordinary, cut[1])) for t in texts[n:] or texts]
+    truth = np.array([y for y, _ in held_out])
+    weight = np.where(truth, 1 / max(1, truth.sum()), 1 / max(1, (~truth).sum()))
+    sizes = np.array([len(d) for _, d in held_out])
+    owner, values = np.repeat(np.arange(len(held_out)), sizes), np.concatenate([d for _, d in held_out])
     tried = []
-    weight = {True: 1 / max(1, sum(y for y, _ in held_out)), False: 1 / max(1, sum(not y for y, _ in held_out))}
-    for share in (0.0, 0.01, 0.03, 0.06):
-        for distance in range(3, 41):
-            error = sum(weight[y] for y, d in held_out if y != _is_toxic(d, distance, share))
-            tried.append((round(error, 9), share, distance))
+    for distance in range(3, 41):
+        hits = np.bincount(owner[values >= distance], minlength=len(held_out))
+        for share in SHARES:
+            wrong = truth != (hits >= np.maximum(1, np.ceil(share * sizes)))
+            tried.append((round(float(weight[wrong].sum()), 9), share, distance))
     least = min(t[0] for t in tried)
     share = min(t[1] for t in tried if t[0] == least)
     best = sorted(t[2] for t in tried if t[0] == least and t[1] == share)
