@@ -139,6 +139,12 @@ def is_table_line(line: Column) -> Column:
 # --- rules over lines -----------------------------------------------------------------------------------------------
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value) with value worked out once: a column used only within a lambda would be inlined, and so worked out
+    again for every element."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def drop_where(lines: Column, rule: Callable[[Column], Column]) -> Column:
     return F.filter(lines, lambda x: ~rule(x))
 

@@ -10,7 +10,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from quillmill.functions import lines as L, patterns as P
 
 Transform = Callable[[DataFrame], DataFrame]
-MARKER_OPEN, MARKER_CLOSE = "<!-- vector-pdf:cleaned=", " -->"
+MARKER_OPEN, MARKER_CLOSE = "<!-- quillmill:cleaned=", " -->"
+#: Marks of other tools are read as well.
+_MARKER = r"<!-- [\w-]+:cleaned="
 _SYMBOLS = "©®™€£¥°±×÷≈≠≤≥•◦▪▫→←↑↓⇒⇐⇑⇓"
 
 
@@ -44,13 +46,12 @@ def cleaning_marker(profile: str, is_ocr: bool = False) -> str:
 
 
 def has_marker(text: Column) -> Column:
-    return F.ltrim(F.regexp_replace(text, r"(?U)^\s+", "")).startswith(MARKER_OPEN)
+    return text.rlike(rf"(?U)\A\s*{_MARKER}")
 
 
 def strip_marker(df: DataFrame, col: str = "text") -> DataFrame:
     """Without the mark that a cleaned file begins with; a mark that isn't closed stays."""
-    opened = MARKER_OPEN.replace("<!--", "<!--")
-    return _on_text(df, lambda t: F.regexp_replace(t, rf"(?sU)^\s*{opened}.*?{MARKER_CLOSE}\n*", ""), col)
+    return _on_text(df, lambda t: F.regexp_replace(t, rf"(?sU)\A\s*{_MARKER}.*?{MARKER_CLOSE}\n*", ""), col)
 
 
 def fix_artifacts(df: DataFrame, col: str = "text") -> DataFrame:
@@ -81,9 +82,9 @@ def drop_toc(df: DataFrame, col: str = "text") -> DataFrame:
         s = L.strip(x)
         return F.when(L.is_content_heading(x), "H").when(L.is_toc_entry(x), "T").when((F.length(s) > 100) & s.endswith("."), "L").otherwise("O")
 
-    df = df.withColumn("__codes", L.letters_of(F.regexp_replace(L.letter_per_line("__lines", letter), r"T|(?!^)\GO", "X")))
-    kept = F.filter("__lines", lambda x, i: F.get("__codes", i) != "X")
-    return df.withColumn(col, L.joined(kept)).drop("__lines", "__codes")
+    codes = L.letters_of(F.regexp_replace(L.letter_per_line("__lines", letter), r"T|(?!^)\GO", "X"))
+    kept = L.let(codes, lambda c: F.filter("__lines", lambda x, i: F.get(c, i) != "X"))
+    return df.withColumn(col, L.joined(kept)).drop("__lines")
 
 
 def drop_front_matter(df: DataFrame, col: str = "text") -> DataFrame:
@@ -264,7 +265,7 @@ def clean(df: DataFrame, profile: str = "default", is_ocr: bool = False, corrupt
 
 
 def clean_for_chunking(df: DataFrame, source_col: str = "source", least: int = 50) -> DataFrame:
-    """Marked texts get the light profile, others the one for manuals; what has under 50 characters left goes.
+    """Marked texts get the light profile, others the one for manuals; what has under 50 characters left becomes null.
 
     Texts from a path with "scan" or "_ocr" count as OCR.
     """
@@ -275,4 +276,5 @@ def clean_for_chunking(df: DataFrame, source_col: str = "source", least: int = 5
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out.where(F.length("text") >= least).drop("__ocr", "__marked")
+    # Not a filter: pushed through all steps, it would repeat every one of them.
+    return out.withColumn("text", F.when(F.length("text") >= least, F.col("text"))).drop("__ocr", "__marked")
