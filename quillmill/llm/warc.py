@@ -127,28 +127,41 @@ def parse_record(raw: bytes) -> tuple | None:
 
 
 def parse_warc(raw: DataFrame) -> DataFrame:
-    """Rows of RECORD from rows (raw). What isn't a record, or is null, is left out."""
+    """Rows of RECORD from rows (raw), and label if they have one. What isn't a record, or is null, is left out."""
     kinds = (pa.string(), pa.string(), pa.string(), pa.string(), pa.list_(pa.string()), _PAIRS_ARROW, pa.string(), _PAIRS_ARROW, pa.binary())
+    labelled = "label" in raw.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [r for x in batch.column(0).to_pylist() if x and (r := parse_record(x))]
-            columns = list(zip(*rows)) or [()] * len(kinds)
+            labels = batch.column(1).to_pylist() if labelled else [None] * batch.num_rows
+            rows = [(*r, label) for x, label in zip(batch.column(0).to_pylist(), labels) if x and (r := parse_record(x))]
+            columns = list(zip(*rows)) or [()] * (len(kinds) + 1)
             for at in (5, 7):
                 columns[at] = [[{"name": a, "value": b} for a, b in x] for x in columns[at]]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=[x.split()[0] for x in RECORD.split(", ")])
+            arrays = [pa.array(c, k) for c, k in zip(columns, (*kinds, *[pa.binary()] * labelled))]
+            yield pa.RecordBatch.from_arrays(arrays, names=[x.split()[0] for x in RECORD.split(", ")] + ["label"] * labelled)
 
-    return raw.select("raw").mapInArrow(run, RECORD)
+    return raw.select("raw", *["label"] * labelled).mapInArrow(run, RECORD + ", label binary" * labelled)
+
+
+_FIELD = r"(?im)^{}:[ \t]*(\S+)[ \t]*\r?$"
+
+
+def _head() -> Column:
+    return F.substring_index(F.col("raw").cast("string"), _BREAK * 2, 1)
+
+
+def _key(record_id: Column) -> Column:
+    """A third of an id's length, so that the rounds over links move less."""
+    return F.unhex(F.md5(record_id))
 
 
 def _links(raw: DataFrame) -> DataFrame:
-    """(u, v): which record refers to which, from the headers alone; without Python."""
-    head = F.substring_index(F.col("raw").cast("string"), _BREAK * 2, 1)
-    field = r"(?im)^{}:[ \t]*(\S+)[ \t]*\r?$"
+    """(u, v): which record refers to which, by key, from the headers alone; without Python."""
     ids = raw.where(F.startswith(F.col("raw"), F.lit(b"WARC/"))).select(
-        F.regexp_extract(head, field.format("WARC-Record-ID"), 1).alias("u"), F.explode(F.regexp_extract_all(head, F.lit(field.format("WARC-Concurrent-To")), F.lit(1))).alias("v")
+        F.regexp_extract(_head(), _FIELD.format("WARC-Record-ID"), 1).alias("u"), F.explode(F.regexp_extract_all(_head(), F.lit(_FIELD.format("WARC-Concurrent-To")), F.lit(1))).alias("v")
     )
-    return ids.where("u <> '' AND v <> ''")
+    return ids.where("u <> '' AND v <> ''").select(_key(F.col("u")).alias("u"), _key(F.col("v")).alias("v"))
 
 
 def assemble(spark: SparkSession, raw: DataFrame) -> DataFrame:
@@ -161,9 +174,11 @@ def assemble(spark: SparkSession, raw: DataFrame) -> DataFrame:
     """
     scratch = Scratch(spark, "warc")
     labels = connected_components(_links(raw), scratch)
-    records = parse_warc(raw).where("type <> 'warcinfo'").join(labels.withColumnRenamed("id", "record_id"), "record_id", "left")
+    # Records are labelled as they are, in one piece, and taken apart only on the way to their capture.
+    keyed = raw.select("raw", _key(F.regexp_extract(_head(), _FIELD.format("WARC-Record-ID"), 1)).alias("id"))
+    records = parse_warc(keyed.join(labels, "id", "left").select("raw", F.coalesce("label", "id").alias("label"))).where("type <> 'warcinfo'")
     whole = F.struct("record_id", "type", "target_uri", "date", "concurrent_to", "headers", "http_start", "http_headers", "body")
-    grouped = records.groupBy(F.coalesce("label", "record_id").alias("label")).agg(F.array_sort(F.collect_list(whole)).alias("r"))
+    grouped = records.groupBy("label").agg(F.array_sort(F.collect_list(whole)).alias("r"))
 
     def of(kind: str) -> Column:
         return F.filter("r", lambda x: x["type"] == kind)
