@@ -178,6 +178,7 @@ def page_differences(spark: SparkSession, pages: DataFrame) -> DataFrame:
     others = groups.select("host", F.col("content").alias("other_content"), F.col("hashes").alias("other"))
     aligned = pairs.join(lists, ["host", "content"]).join(others, ["host", "other_content"]).select("host", "content", "partner", "hashes", "other")
     shared = scratch.write(aligned.mapInArrow(_align_batches, "host string, content string, partner string, shared array<int>"), "shared")
+    scratch.drop("sorted", "groups")
     by_row = hashed.select("row_key", "host", "content").distinct().join(shared, ["host", "content"]).select("row_key", "partner", "shared")
     texts = rows.select(key.alias("row_key"), "html").mapInArrow(_text_batches, "row_key struct<page_id:long,url:string,h:long>, lines array<string>")
     none = F.array().cast("array<int>")
