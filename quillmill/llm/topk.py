@@ -131,7 +131,8 @@ def _selector(k: int, fine: bool):
                 continue
             above = int(old[i, 1]) if fine else 0
             at = min(b - 1, int(np.searchsorted(upto[a + 1 : b + 1], upto[a] + k - above)) + a)
-            out[i] = (value[at] + ((int(old[i, 0]) << SHIFT) - SCALE if fine else 0), above + upto[at] - upto[a])
+            first = a + int(np.searchsorted(-value[a:b], -value[at]))  # other blocks may hold the same value
+            out[i] = (value[at] + ((int(old[i, 0]) << SHIFT) - SCALE if fine else 0), above + upto[first] - upto[a])
         return pd.DataFrame({"block": [int(key[0])], "state": [out.astype("<i4").tobytes()]})
 
     return run
