@@ -70,7 +70,7 @@ def merge_small(chunks: DataFrame, small: int = 400, most: int = 2000, key: str
     w = Window.partitionBy(key).orderBy(order)
     fits = (F.length("content") < small) & (F.length("content") + F.lead(F.length("content")).over(w) + 2 <= most)
     rows = chunks.withColumn("__can", F.coalesce(fits, F.lit(False)))
-    rows = rows.withColumn("__run", F.sum(F.when(~F.col("__can"), 1).otherwise(0)).over(w.rowsBetween(Window.unboundedPreceding, -1)))
+    rows = rows.withColumn("__run", F.coalesce(F.sum(F.when(~F.col("__can"), 1).otherwise(0)).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     rows = rows.withColumn("__at", F.row_number().over(Window.partitionBy(key, "__run").orderBy(order)))
     opens = F.col("__can") & (F.col("__at") % 2 == 1)
     rows = rows.withColumn("__opens", opens)
