@@ -122,7 +122,16 @@ _register(
         CASE WHEN greatest(ts, ls, cs) < 0.2 THEN 'narrative' WHEN ts >= 0.3 THEN 'table' WHEN ls >= 0.3 THEN 'list' WHEN cs >= 0.3 THEN 'code' ELSE 'mixed' END AS content_type FROM e
     """,
 )
-_register("structure_scores", lambda d: structure.structure_score(d).select("doc_id", "n_headings", F.round("structure_score", 6).alias("structure_score")), None)
+_register(
+    "structure_scores",
+    lambda d: structure.structure_score(d).select("doc_id", "n_headings", F.round("structure_score", 6).alias("structure_score")),
+    rf"""
+    WITH {_HEADINGS_SQL},
+    c AS (SELECT doc_id, count(*) AS k FROM headings GROUP BY doc_id),
+    e AS (SELECT d.doc_id, coalesce(c.k, 0) AS k, len(regexp_extract_all(text, '(?m)^#{{1,6}}[ \t]+\S')) AS m, greatest(3, length(text) // 2500) AS x, text FROM documents d LEFT JOIN c ON d.doc_id = c.doc_id)
+    SELECT doc_id, CAST(m AS INTEGER) AS n_headings, CASE WHEN text IS NOT NULL THEN round(0.7 * least(CAST(k AS DOUBLE) / x, 1.0) + 0.3 * least(CAST(m AS DOUBLE) / x, 1.0), 6) END AS structure_score FROM e
+    """,
+)
 
 # --- chunks ---------------------------------------------------------------------------------------------------------
 
