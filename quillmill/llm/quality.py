@@ -1,8 +1,9 @@
 """Compression bands: zstandard ratios reject text that repeats itself or doesn't compress.
 
 Ratio: bytes of UTF-8 over bytes compressed. A whole document must lie within the band of its length; of its chunks of
-a fixed size, at most a share may lie outside the band of chunks. The last chunk counts only if it is full, so that no
-chunk is judged by a band for another length.
+a fixed size, at most a share may lie outside the band of chunks. The last chunk is a full one that ends where the text
+ends, over part of the one before, so that no byte goes unjudged and no chunk is judged by a band for another length.
+Texts too short for a chunk have smaller ones, with a band of their own; the shortest are judged as a whole only.
 """
 
 from __future__ import annotations
@@ -24,7 +25,10 @@ class Bands:
     )
     chunk_bytes: int = 2048
     chunk: tuple[float, float] = (1.25, 3.5)
-    #: Share of chunks outside their band from which a document is rejected.
+    #: The same for documents under chunk_bytes.
+    small_bytes: int = 256
+    small: tuple[float, float] = (1.10, 2.8)
+    #: Share of chunks outside their band from which a document is rejected: of the chunks side by side, or of all bytes.
     chunk_share: float = 0.25
     level: int = 3
 
@@ -39,17 +43,27 @@ def measure(text: str | None, bands: Bands, compress) -> tuple[bool, str | None,
     if not size:
         return False, "empty", 0, None, 0, 0
     ratio = size / len(compress(raw))
-    chunks, outside, repeated = size // bands.chunk_bytes, 0, 0
-    for k in range(chunks):
-        r = bands.chunk_bytes / len(compress(raw[k * bands.chunk_bytes : (k + 1) * bands.chunk_bytes]))
-        outside += not bands.chunk[0] <= r <= bands.chunk[1]
-        repeated += r > bands.chunk[1]
+    step, (low, high) = (bands.chunk_bytes, bands.chunk) if size >= bands.chunk_bytes else (bands.small_bytes, bands.small)
+    full, rest = divmod(size, step)
+    starts = [*range(0, full * step, step), *([size - step] if full and rest else [])]
+    chunks, outside, repeated, covered, upto = len(starts), 0, 0, 0, 0
+    rejected = False
+    for k, at in enumerate(starts):
+        r = step / len(compress(raw[at : at + step]))
+        if not low <= r <= high:
+            outside += 1
+            repeated += r > high
+            covered += at + step - max(at, upto)  # what two chunks share counts once
+            upto = at + step
+        if k == full - 1:
+            rejected = outside >= bands.chunk_share * full
+    rejected |= covered >= bands.chunk_share * size
     reason, band = None, bands.of(size)
     if band and ratio > band[1]:
         reason = "repetitive"
     elif band and ratio < band[0]:
         reason = "incompressible"
-    elif chunks and outside >= bands.chunk_share * chunks and outside:
+    elif outside and rejected:
         reason = "repetitive chunks" if 2 * repeated >= outside else "incompressible chunks"
     return reason is None, reason, size, round(ratio, 6), chunks, outside
 
