@@ -1,4 +1,4 @@
-"""Exact top-k search by histogram selection: every row is a query against every other row.
+"""Exact top-k search by histogram selection: a stated set of queries, in blocks, against all rows.
 
 Cosine scores are rounded to six decimals, so that a score is one of 2,000,001 whole numbers and equal scores are
 equal on every machine. Vectors are held in blocks; each pass scores every pair of blocks anew:
@@ -8,8 +8,8 @@ equal on every machine. Vectors are held in blocks; each pass scores every pair
 2. fine histogram: the counts of single values within that bin show the k-th score itself.
 3. filter: scores above the k-th score, and as many of those equal to it as are missing, least ids first.
 
-Work grows with the square of the rows, which an exact search over all pairs can't avoid; what is shuffled is linear
-in rows times blocks, never the scores.
+Work is the product of queries and rows, which an exact search can't avoid; what is shuffled is linear in queries times
+blocks of rows, never the scores.
 """
 
 from __future__ import annotations
@@ -23,7 +23,9 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from quillmill.llm.scratch import Scratch
 
-K, BLOCK_ROWS = 10, 4096
+K, BLOCK_ROWS, QUERY_ROWS = 10, 4096, 1024
+#: Rows whose id is divisible by this are queries.
+QUERY_EVERY = 20
 SCALE, SHIFT = 1_000_000, 10
 _LEAST = -2 * SCALE
 #: Rows of a block that are scored at a time.
@@ -59,13 +61,14 @@ def _unit(ids: bytes, matrix: bytes) -> tuple[np.ndarray, np.ndarray]:
     return names, m / np.sqrt((m * m).sum(1, keepdims=True))
 
 
-def _scores(q: np.ndarray, q_ids: np.ndarray, v: np.ndarray, v_ids: np.ndarray, same_block: bool) -> np.ndarray:
+def _scores(q: np.ndarray, q_ids: np.ndarray, v: np.ndarray, v_ids: np.ndarray) -> np.ndarray:
     got = q @ v.T
     got *= SCALE
     np.rint(got, out=got)
     whole = got.astype(np.int32)
-    if same_block:  # ids are distinct, so a row meets itself only in its own block
-        whole[np.arange(len(q_ids)), np.searchsorted(v_ids, q_ids)] = _LEAST
+    at = np.minimum(np.searchsorted(v_ids, q_ids), len(v_ids) - 1)
+    itself = np.flatnonzero(v_ids[at] == q_ids)
+    whole[itself, at[itself]] = _LEAST
     return whole
 
 
@@ -96,13 +99,13 @@ def _pass(pairs: DataFrame, k: int, step: Callable) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for qb, q_ids, q_matrix, q_state, vb, v_ids, v_matrix in zip(*(c.to_pylist() for c in batch.columns)):
+            for qb, q_ids, q_matrix, q_state, _, v_ids, v_matrix in zip(*(c.to_pylist() for c in batch.columns)):
                 (qn, q), (vn, v) = _unit(q_ids, q_matrix), _unit(v_ids, v_matrix)
                 state = np.frombuffer(q_state, "<i4").reshape(len(qn), 2)
                 found = []
                 for a in range(0, len(qn), STRIP):
                     part = slice(a, a + STRIP)
-                    row, value, count = step(_scores(q[part], qn[part], v, vn, qb == vb), k, state[part])
+                    row, value, count = step(_scores(q[part], qn[part], v, vn), k, state[part])
                     found.append(np.stack([row + a, value, count], 1).astype("<i4"))
                 entries = np.concatenate(found)
                 yield pa.RecordBatch.from_arrays([pa.array([qb], pa.int64()), pa.array([entries.tobytes()], pa.binary())], names=["block", "entries"])
@@ -141,12 +144,12 @@ def _selector(k: int, fine: bool):
 def _filtered(pairs: DataFrame, k: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for qb, q_ids, q_matrix, q_state, vb, v_ids, v_matrix in zip(*(c.to_pylist() for c in batch.columns)):
+            for qb, q_ids, q_matrix, q_state, _, v_ids, v_matrix in zip(*(c.to_pylist() for c in batch.columns)):
                 (qn, q), (vn, v) = _unit(q_ids, q_matrix), _unit(v_ids, v_matrix)
                 state = np.frombuffer(q_state, "<i4").reshape(len(qn), 2)
                 for a in range(0, len(qn), STRIP):
                     part = slice(a, a + STRIP)
-                    strip = _scores(q[part], qn[part], v, vn, qb == vb)
+                    strip = _scores(q[part], qn[part], v, vn)
                     least, missing = state[part, 0], k - state[part, 1]
                     row, column = np.nonzero(strip >= np.maximum(least, -SCALE)[:, None])
                     got = strip[row, column]
@@ -162,42 +165,52 @@ def _filtered(pairs: DataFrame, k: int) -> DataFrame:
     return pairs.mapInArrow(run, "query_id long, vec_id long, whole int")
 
 
-def top_k(spark: SparkSession, vectors: DataFrame, k: int = K, id_col: str = "vec_id", vector_col: str = "embedding", block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """(query_id, rank, vec_id, score): the k most similar other rows of every row.
+def _blocks(rows: DataFrame, n: int, block_rows: int) -> DataFrame:
+    """(block, ids, matrix): rows in blocks by a hash of their id."""
+    blocks = max(1, -(-n // block_rows))
+    keyed = rows.withColumn("b", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("long"))
+    return keyed.groupBy("b").applyInPandas(_packed, "block long, ids binary, matrix binary")
+
+
+def top_k(spark: SparkSession, vectors: DataFrame, k: int = K, id_col: str = "vec_id", vector_col: str = "embedding", every: int = QUERY_EVERY, block_rows: int = BLOCK_ROWS, query_rows: int = QUERY_ROWS) -> DataFrame:
+    """(query_id, rank, vec_id, score): for every row whose id is divisible by `every`, the k most similar other rows.
 
     score is the cosine rounded to six decimals; equal scores are ranked by vec_id. With fewer than k + 1 rows all the
-    others are returned; a single row, or none, gives an empty table. See valid_vectors for rows that can't take part.
+    others are returned; no query, a single row or none gives an empty table. See valid_vectors for rows that can't take
+    part. Other columns aren't read.
     """
     if k < 1:
         raise ValueError("k must be at least 1")
     scratch = Scratch(spark, "topk")
-    rows = valid_vectors(vectors, id_col, vector_col)
-    rows = scratch.write(rows, "rows")
-    blocks = max(1, -(-rows.count() // block_rows))
-    keyed = rows.withColumn("b", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("long"))
-    packed = scratch.write(keyed.groupBy("b").applyInPandas(_packed, "block long, ids binary, matrix binary"), "blocks")
-    side = packed.select(F.col("block").alias("v_block"), F.col("ids").alias("v_ids"), F.col("matrix").alias("v_matrix"))
+    rows = scratch.write(valid_vectors(vectors, id_col, vector_col), "rows")
+    asked = rows.where(F.col("vec_id") % every == 0)
+    n, n_asked = rows.count(), asked.count()
+    packed = scratch.write(_blocks(rows, n, block_rows), "blocks")
+    queried = scratch.write(_blocks(asked, n_asked, query_rows), "queries")
+    # A number given by hand keeps the pairs of blocks apart: they are short of bytes, but not of work.
+    spread = lambda df, key, n, size: df.repartition(min(max(1, -(-n // size)), 4096), key)
+    side = spread(packed.select(F.col("block").alias("v_block"), F.col("ids").alias("v_ids"), F.col("matrix").alias("v_matrix")), "v_block", n, block_rows)
 
     def pairs(queries: DataFrame) -> DataFrame:
-        return queries.select("block", "ids", "matrix", "state").repartition(min(blocks, 10_000), "block").crossJoin(side)
+        return spread(queries.select("block", "ids", "matrix", "state"), "block", n_asked, query_rows).crossJoin(side)
 
     zero = F.expr("unhex(repeat('00', cast(length(ids) as int)))")  # two whole numbers of four bytes per id of eight
-    queries = packed.withColumn("state", zero)
+    queries = queried.withColumn("state", zero)
     for fine, step in ((False, _coarse), (True, _fine)):
         histograms = _pass(pairs(queries), k, step).join(queries.select("block", "state"), "block")
         state = scratch.write(histograms.groupBy("block").applyInPandas(_selector(k, fine), "block long, state binary"), f"state{int(fine)}")
-        queries = packed.join(state, "block")
+        queries = queried.join(state, "block")
     found = _filtered(pairs(queries), k)
     order = Window.partitionBy("query_id").orderBy(F.desc("whole"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", (F.col("whole") / F.lit(float(SCALE))).alias("score"))
 
 
-def top_k_sql(k: int = K) -> str:
+def top_k_sql(k: int = K, every: int = QUERY_EVERY) -> str:
     """The same over a table of valid vectors without repeated ids."""
     return f"""
         WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
-        s AS (SELECT a.vec_id AS query_id, b.vec_id AS vec_id, round(list_cosine_similarity(a.e, b.e), 6) AS score FROM v a JOIN v b ON a.vec_id <> b.vec_id),
+        s AS (SELECT a.vec_id AS query_id, b.vec_id AS vec_id, round(list_cosine_similarity(a.e, b.e), 6) AS score FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % {every} = 0),
         r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s)
         SELECT query_id, rank, vec_id, score FROM r WHERE rank <= {k}
     """
