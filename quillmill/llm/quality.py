@@ -3,7 +3,7 @@
 Ratio: bytes of UTF-8 over bytes compressed. A whole document must lie within the band of its length; of its chunks of
 a fixed size, at most a share may lie outside the band of chunks. The last chunk is a full one that ends where the text
 ends, over part of the one before, so that no byte goes unjudged and no chunk is judged by a band for another length.
-Texts too short for a chunk have smaller ones, with a band of their own; the shortest are judged as a whole only.
+Texts too short for a chunk have smaller ones, with a band of their own; what is shorter than those is judged as a whole.
 """
 
 from __future__ import annotations
@@ -19,9 +19,9 @@ from pyspark.sql import DataFrame, functions as F
 
 @dataclass(frozen=True)
 class Bands:
-    #: (bytes from, least ratio, greatest ratio); a document shorter than the first entry isn't judged.
+    #: (bytes from, least ratio, greatest ratio). A frame alone takes some 12 bytes, so the ratios of the shortest are low.
     whole: tuple[tuple[int, float, float], ...] = field(
-        default=((64, 0.70, 2.2), (256, 1.10, 2.8), (1024, 1.30, 3.3), (4096, 1.40, 3.9), (16384, 1.45, 4.8), (65536, 1.50, 6.0), (1 << 20, 1.50, 8.0))
+        default=((1, 0.05, 1.2), (16, 0.50, 1.3), (32, 0.65, 1.6), (64, 0.70, 2.2), (256, 1.10, 2.8), (1024, 1.30, 3.3), (4096, 1.40, 3.9), (16384, 1.45, 4.8), (65536, 1.50, 6.0), (1 << 20, 1.50, 8.0))
     )
     chunk_bytes: int = 2048
     chunk: tuple[float, float] = (1.25, 3.5)
@@ -75,8 +75,8 @@ def _compress(bands: Bands):
 def quality_rules(docs: DataFrame, bands: Bands = Bands()) -> DataFrame:
     """(doc_id, keep, reason, n_bytes, ratio, chunks, chunks_outside) for every row of docs.
 
-    Null and empty texts are rejected as "empty"; texts below the shortest band are kept unjudged. Repeated rows and
-    rows with a null doc_id are measured like any other. Whole texts count; other columns aren't read.
+    Null and empty texts are rejected as "empty"; every other text is judged, from one byte on. Repeated rows and rows
+    with a null doc_id are measured like any other. Whole texts count, however long; other columns aren't read.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -92,12 +92,16 @@ def quality_rules(docs: DataFrame, bands: Bands = Bands()) -> DataFrame:
 
 
 def drop_low_quality(docs: DataFrame, bands: Bands = Bands()) -> DataFrame:
-    """docs without the rejected rows, all columns as they were. Null and empty texts go."""
+    """docs without the rejected rows, all columns as they were. Null and empty texts go; an empty table stays empty.
+
+    The text is the column that Spark resolves as "text", in whatever case it is spelt.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compress = _compress(bands)
         for batch in batches:
-            texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
-            yield batch.filter(pa.array([measure(t, bands, compress)[0] for t in texts], pa.bool_()))
+            texts = batch.column(batch.num_columns - 1).to_pylist()
+            kept = batch.filter(pa.array([measure(t, bands, compress)[0] for t in texts], pa.bool_()))
+            yield pa.RecordBatch.from_arrays(kept.columns[:-1], names=kept.schema.names[:-1])
 
-    return docs.where(F.length("text") > 0).mapInArrow(run, docs.schema)
+    return docs.where(F.length("text") > 0).select("*", F.col("text").alias("__text")).mapInArrow(run, docs.schema)
