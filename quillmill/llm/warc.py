@@ -1,16 +1,19 @@
 """WARC records, and their assembly into captures through WARC-Concurrent-To.
 
 A capture is a set of records that refer to one another, directly or through others: the connected component of the
-links between record ids. Links are read from the record headers alone, so the payloads move only once they are put
-into their rows.
+links between record ids. Links are read from the record headers alone. Each record that refers to another is joined to
+it, and to what that one refers to; only links that still lead elsewhere go through the rounds of a component search. A
+record that refers to none, as a response with its payload, is a capture's home unless such a link says otherwise, so it
+moves once, to meet the records that refer to it.
 """
 
 from __future__ import annotations
 
-import gzip
-from collections.abc import Iterator
+import zlib
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from quillmill.llm.components import connected_components
@@ -22,8 +25,15 @@ RECORD = f"record_id string, type string, target_uri string, date string, concur
 _BREAK = "\r\n"
 
 
+#: Records of links beyond the second step up to which they are sent to every executor.
+BROADCAST_LINKS = 500_000
+#: Bytes read at a time, and bytes of records handed over at once.
+READ_BYTES, BATCH_BYTES = 1 << 20, 16 << 20
+
+
 def _record_id(kind: str) -> Column:
-    digest = F.md5(F.concat(F.lit(f"{kind}:"), F.col("page_id").cast("string"), F.lit(":"), F.coalesce(F.col("url"), F.lit(""))))
+    """Made of all that a page holds, and the number of the row among equal ones."""
+    digest = F.md5(F.concat_ws(":", F.lit(kind), F.col("page_id").cast("string"), F.col("copy").cast("string"), F.md5(F.coalesce("url", F.lit(""))), F.md5("html")))
     return F.regexp_replace(digest, "^(.{8})(.{4})(.{4})(.{4})(.{12})$", "<urn:uuid:$1-$2-$3-$4-$5>")
 
 
@@ -35,12 +45,27 @@ def _raw(kind: str, record_id: Column, to: Column | None, url: Column, content_t
     return F.concat(*head, F.octet_length(block).cast("string"), F.lit(_BREAK * 2), block, F.lit(_BREAK * 2)).cast("binary")
 
 
+def _numbered(page: DataFrame) -> DataFrame:
+    """page (page_id, url, html) with copy, 1 but for rows that occur more than once. Those alone are shuffled."""
+    key = ["page_id", F.md5(F.concat_ws(":", F.md5("url"), "html")).alias("digest")]
+    again = page.select(*key).groupBy("page_id", "digest").count().where("count > 1").select("page_id").distinct()
+    few = again.limit(BROADCAST_LINKS + 1).count()
+    if not few:
+        return page.withColumn("copy", F.lit(1).cast("long"))
+    side = F.broadcast(again) if few <= BROADCAST_LINKS else again
+    more = page.join(side, "page_id", "left_semi").groupBy("page_id", "url", "html").agg(F.count("*").alias("n"))
+    more = more.select("page_id", "url", "html", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))).alias("copy"))
+    return page.join(side, "page_id", "left_anti").withColumn("copy", F.lit(1).cast("long")).unionByName(more)
+
+
 def pages_to_warc(pages: DataFrame) -> DataFrame:
     """(raw): three WARC records per page: its response, the request for it, and metadata that names the request.
 
-    A null url or html becomes an empty one. Rows with a null page_id are left out.
+    A null url or html becomes an empty one. Rows with a null page_id are left out. Rows that repeat a page_id, or are
+    equal in all, give records of their own. Other columns aren't read.
     """
     page = pages.select("page_id", F.coalesce("url", F.lit("")).alias("url"), F.coalesce("html", F.lit("")).alias("html")).where("page_id IS NOT NULL")
+    page = _numbered(page)
     url, response, request, metadata = F.col("url"), _record_id("response"), _record_id("request"), _record_id("metadata")
     path = F.coalesce(F.nullif(F.regexp_extract(url, r"^[a-z]+://[^/?#]*([^#]*)", 1), F.lit("")), F.lit("/"))
     host = F.regexp_extract(url, r"^[a-z]+://([^/?#]*)", 1)
@@ -55,36 +80,73 @@ def pages_to_warc(pages: DataFrame) -> DataFrame:
     return page.select(F.explode(records).alias("raw"))
 
 
-def split_warc(data: bytes) -> Iterator[bytes]:
-    """The records of a WARC file, plain or compressed; a cut-off last record is left out."""
-    if data[:2] == b"\x1f\x8b":
-        data = gzip.decompress(data)
-    at = 0
-    while (at := data.find(b"WARC/", at)) >= 0:
-        head = data.find(b"\r\n\r\n", at)
-        if head < 0:
-            return
-        size = next((int(x[15:]) for x in data[at:head].split(b"\r\n") if x[:15].lower() == b"content-length:" and x[15:].strip().isdigit()), 0)
-        end = head + 4 + size
-        if end > len(data):
-            return
-        yield data[at:end]
-        at = end
+def _inflated(chunks: Iterable[bytes]) -> Iterator[bytes]:
+    """Chunks of a file, decompressed if it is in gzip's format, member after member; what follows damage is left out."""
+    unpack = None
+    for k, chunk in enumerate(chunks):
+        if k == 0 and chunk[:2] == b"\x1f\x8b":
+            unpack = zlib.decompressobj(31)
+        if unpack is None:
+            yield chunk
+            continue
+        while chunk:
+            try:
+                data = unpack.decompress(chunk, READ_BYTES)
+            except zlib.error:
+                return
+            if data:
+                yield data
+            chunk = unpack.unconsumed_tail
+            if unpack.eof:
+                chunk = unpack.unused_data.lstrip(b"\0")
+                unpack = zlib.decompressobj(31)
+
+
+def split_warc(chunks: Iterable[bytes]) -> Iterator[bytes]:
+    """The records of a WARC file given in chunks, plain or compressed; a cut-off last record is left out.
+
+    Only the record at hand is held in memory. What lies between records is passed over.
+    """
+    held = bytearray()
+    size = None  # of the record at the start of what is held, once its head is known
+    for chunk in _inflated(chunks):
+        held += chunk
+        while True:
+            if size is None:
+                at = held.find(b"WARC/")
+                del held[: at if at >= 0 else max(0, len(held) - 4)]
+                head = held.find(b"\r\n\r\n")
+                if at < 0 or head < 0:
+                    break
+                lengths = (x[15:] for x in bytes(held[:head]).split(b"\r\n") if x[:15].lower() == b"content-length:")
+                size = head + 4 + next((int(x) for x in lengths if x.strip().isdigit()), 0)
+            if len(held) < size:
+                break
+            yield bytes(held[:size])
+            del held[:size]
+            size = None
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
-    """(raw) of all records in the .warc and .warc.gz files below a path."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.warc*").load(path).select("content")
+    """(raw) of all records in the .warc and .warc.gz files below a path, which are read as streams."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.warc*").load(path).select("path")
+
+    def chunks(uri: str) -> Iterator[bytes]:
+        system, at = fs.FileSystem.from_uri(uri)
+        with system.open_input_stream(at, compression=None) as f:
+            while chunk := f.read(READ_BYTES):
+                yield chunk
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for data in batch.column(0).to_pylist():
-                held: list[bytes] = []
-                for record in split_warc(data):
+            for uri in batch.column(0).to_pylist():
+                held, size = [], 0
+                for record in split_warc(chunks(uri)):
                     held.append(record)
-                    if len(held) == 256:
+                    size += len(record)
+                    if size >= BATCH_BYTES:
                         yield pa.RecordBatch.from_arrays([pa.array(held, pa.binary())], names=["raw"])
-                        held = []
+                        held, size = [], 0
                 yield pa.RecordBatch.from_arrays([pa.array(held, pa.binary())], names=["raw"])
 
     return files.mapInArrow(run, "raw binary")
@@ -156,6 +218,10 @@ def _key(record_id: Column) -> Column:
     return F.unhex(F.md5(record_id))
 
 
+def _refers() -> Column:
+    return _head().rlike(_FIELD.format("WARC-Concurrent-To"))
+
+
 def _links(raw: DataFrame) -> DataFrame:
     """(u, v): which record refers to which, by key, from the headers alone; without Python."""
     ids = raw.where(F.startswith(F.col("raw"), F.lit(b"WARC/"))).select(
@@ -164,19 +230,48 @@ def _links(raw: DataFrame) -> DataFrame:
     return ids.where("u <> '' AND v <> ''").select(_key(F.col("u")).alias("u"), _key(F.col("v")).alias("v"))
 
 
+def record_labels(links: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame | None]:
+    """(id, label) of every record that refers to another; and of every other record that isn't a label itself, or None.
+
+    A record goes to the least id that it names, and on to the least id that this one names: enough for a request and
+    metadata of one response. Links whose ends are then apart join the labels by connected components.
+    """
+    links = scratch.write(links, "links")
+    parent = links.groupBy("u").agg(F.min("v").alias("p"))
+    above = parent.select(F.col("u").alias("p"), F.col("p").alias("g"))
+    two = scratch.write(parent.join(above, "p", "left").select(F.col("u").alias("id"), F.coalesce("g", "p").alias("label")), "labels")
+    ends = links.join(two.select(F.col("id").alias("u"), F.col("label").alias("lu")), "u").join(two.select(F.col("id").alias("v"), F.col("label").alias("lv")), "v", "left")
+    apart = scratch.write(ends.select(F.col("lu").alias("u"), F.coalesce("lv", "v").alias("v")).where("u <> v"), "apart")
+    scratch.drop("links")
+    if apart.isEmpty():
+        return two, None
+    joined = connected_components(apart, scratch).select(F.col("id").alias("label"), F.col("label").alias("root"))
+    moved = two.join(joined, "label", "left").select("id", F.coalesce("root", "label").alias("label"))
+    return moved, joined.select(F.col("label").alias("id"), F.col("root").alias("label"))
+
+
 def assemble(spark: SparkSession, raw: DataFrame) -> DataFrame:
     """One nested row per capture: (capture_id, target_uri, date, page_id, response, request, metadata, others).
 
     capture_id is the least id of its responses, or of its records if it has none. response and request are the ones
     with the least id; metadata and others (further records) are sorted by id. page_id is that of the metadata, null if
     it isn't a number. A record that nothing refers to is a capture of its own; warcinfo records are left out. Of
-    records that agree in every part, one counts. An id that no record has still ties those that refer to it.
+    records that agree in every part, one counts. An id that no record has still ties those that refer to it. Null rows,
+    empty ones and what isn't a record are left out; no record gives an empty table. All records of a capture meet in
+    one row, so a capture must fit into one.
     """
     scratch = Scratch(spark, "warc")
-    labels = connected_components(_links(raw), scratch)
+    labels, roots = record_labels(_links(raw), scratch)
     # Records are labelled as they are, in one piece, and taken apart only on the way to their capture.
-    keyed = raw.select("raw", _key(F.regexp_extract(_head(), _FIELD.format("WARC-Record-ID"), 1)).alias("id"))
-    records = parse_warc(keyed.join(labels, "id", "left").select("raw", F.coalesce("label", "id").alias("label"))).where("type <> 'warcinfo'")
+    keyed = raw.where("raw IS NOT NULL").select("raw", _key(F.regexp_extract(_head(), _FIELD.format("WARC-Record-ID"), 1)).alias("id"))
+    referring = keyed.where(_refers()).join(labels, "id", "left").select("raw", F.coalesce("label", "id").alias("label"))
+    alone = keyed.where(~_refers())
+    if roots is None:
+        alone = alone.select("raw", F.col("id").alias("label"))
+    else:
+        small = roots.limit(BROADCAST_LINKS + 1).count() <= BROADCAST_LINKS
+        alone = alone.join(F.broadcast(roots) if small else roots, "id", "left").select("raw", F.coalesce("label", "id").alias("label"))
+    records = parse_warc(alone.unionByName(referring)).where("type <> 'warcinfo'")
     whole = F.struct("record_id", "type", "target_uri", "date", "concurrent_to", "headers", "http_start", "http_headers", "body")
     grouped = records.groupBy("label").agg(F.array_sort(F.collect_list(whole)).alias("r"))
 
@@ -201,7 +296,11 @@ def assemble(spark: SparkSession, raw: DataFrame) -> DataFrame:
 
 
 def captures(spark: SparkSession, pages: DataFrame) -> DataFrame:
-    """Captures of the WARC records made of a table of pages."""
+    """Captures of the WARC records made of a table of pages: see pages_to_warc and assemble.
+
+    Every row with a page_id gives one capture, repeated rows and texts of any length included; rows without one give
+    none, and an empty table gives an empty one. A null url or html counts as empty; other columns aren't read.
+    """
     return assemble(spark, pages_to_warc(pages))
 
 
