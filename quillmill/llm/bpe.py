@@ -10,13 +10,15 @@ of each piece, and merges all its pairs of that rank, left to right.
 from __future__ import annotations
 
 import base64
+import os
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, functions as F
+from pyspark import SparkFiles
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from quillmill.llm.ragged import EDGE, LETTER, SPACE, U64, char_classes, code_points, cut_sentence, ragged_positions, slices_of, span_hashes
 
@@ -150,6 +152,17 @@ def load(path: str = VOCABULARY) -> Vocabulary:
         return Vocabulary({base64.b64decode(t): int(r) for t, r in map(bytes.split, f)})
 
 
+def ship(spark: SparkSession, path: str) -> str:
+    """Sends a vocabulary file of the driver to every executor, so that its path need exist on the driver only."""
+    spark.sparkContext.addFile(path)
+    return os.path.basename(path)
+
+
+def load_shipped(name: str) -> Vocabulary:
+    """Within a task: the vocabulary that ship() has sent."""
+    return load(SparkFiles.get(name))
+
+
 class Encoder:
     """Encodes batches of texts and remembers the pieces it has met."""
 
@@ -170,8 +183,8 @@ class Encoder:
         at = np.searchsorted(self.hashes, hashes)  # both are sorted
         self.hashes, self.starts, self.counts = (np.insert(old, at, new) for old, new in ((self.hashes, hashes), (self.starts, begin), (self.counts, counts)))
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(tokens of all texts, where each text's tokens start, one entry more)."""
+    def _found(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Where each piece's tokens start among the known ones, how many they are, and each text's first piece."""
         cps, bounds = code_points(texts)
         starts = split_pieces(cps)
         wide = 1 + (cps > 0x7F).astype(np.int64) + (cps > 0x7FF) + (cps > 0xFFFF)
@@ -183,7 +196,7 @@ class Encoder:
         of_text = np.searchsorted(starts[real], bounds)
         starts, ends = starts[real], ends[real]
         if not len(starts):
-            return np.zeros(0, np.int32), np.zeros(len(texts) + 1, np.int64)
+            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(texts) + 1, np.int64)
         hashes = span_hashes(cps, starts, ends)
         distinct, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
         at = np.minimum(np.searchsorted(self.hashes, distinct), max(0, len(self.hashes) - 1))
@@ -195,9 +208,17 @@ class Encoder:
             k = first[new]
             self._learn(distinct[new], raw, at_byte[starts[k]], at_byte[ends[k]] - at_byte[starts[k]])
             at = np.searchsorted(self.hashes, distinct)
-        begin, counts = self.starts[at][inverse], self.counts[at][inverse]
-        upto = np.concatenate([[0], np.cumsum(counts)])
-        return self.tokens[ragged_positions(begin, counts)], upto[of_text]
+        return self.starts[at][inverse], self.counts[at][inverse], of_text
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(tokens of all texts, where each text's tokens start, one entry more)."""
+        begin, counts, of_text = self._found(texts)
+        return self.tokens[ragged_positions(begin, counts)], np.concatenate([[0], np.cumsum(counts)])[of_text]
+
+    def count(self, texts: list[str]) -> np.ndarray:
+        """The number of tokens of each text."""
+        _, counts, of_text = self._found(texts)
+        return np.diff(np.concatenate([[0], np.cumsum(counts)])[of_text])
 
 
 def _token_lists(tokens: np.ndarray, offsets: np.ndarray) -> pa.ListArray:
@@ -214,6 +235,16 @@ def encoded_slices(encoder: Encoder, texts: list[str | None]) -> Iterator[tuple[
             yield a, b, tokens, np.array([0, len(tokens)])
 
 
+def token_counts(encoder: Encoder, texts: list[str]) -> np.ndarray:
+    out = [np.zeros(0, np.int64)]
+    for a, b in slices_of([len(t) for t in texts], SLICE_CHARS):
+        if len(texts[a]) <= SLICE_CHARS:
+            out.append(encoder.count(texts[a:b]))
+        else:
+            out.append(np.array([sum(int(encoder.count([part])[0]) for part in cut_sentence(texts[a], SLICE_CHARS))]))
+    return np.concatenate(out)
+
+
 def encode(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     """(doc_id, token_ids) of every row of docs, repeated rows included.
 
@@ -222,7 +253,7 @@ def encode(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(load(vocabulary))
+        encoder = Encoder(load_shipped(name))
         for batch in batches:
             column = batch.column(1)
             for a, b, tokens, offsets in encoded_slices(encoder, column.to_pylist()):
@@ -232,6 +263,7 @@ def encode(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
                     lists = pc.if_else(missing, pa.scalar(None, lists.type), lists)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), lists], names=["doc_id", "token_ids"])
 
+    name = ship(docs.sparkSession, vocabulary)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return rows.mapInArrow(run, "doc_id long, token_ids array<int>")
 
@@ -240,7 +272,7 @@ def decode(encoded: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     """(doc_id, text) of rows (doc_id, token_ids); null gives null. Bytes that aren't UTF-8 become U+FFFD."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = load(vocabulary)
+        known = load_shipped(name)
         for batch in batches:
             lists = batch.column(1)
             texts = []
@@ -257,14 +289,19 @@ def decode(encoded: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
             texts = [t if ok else None for t, ok in zip(texts, lists.is_valid().to_pylist())]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["doc_id", "text"])
 
+    name = ship(encoded.sparkSession, vocabulary)
     return encoded.select("doc_id", "token_ids").mapInArrow(run, "doc_id long, text string")
 
 
 def encode_decode(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
-    """(doc_id, token_ids, n_tokens, exact) of every row: exact says that decoding gives the text back."""
+    """(doc_id, token_ids, n_tokens, exact) of every row: exact says that decoding gives the text back.
+
+    A null text gives nulls, an empty one no token and exact. Rows with a null doc_id, repeated rows and texts of any
+    length are encoded like any other. An empty table gives an empty one. Other columns aren't read.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = load(vocabulary)
+        known = load_shipped(name)
         encoder = Encoder(known)
         for batch in batches:
             texts = batch.column(1).to_pylist()
@@ -275,6 +312,7 @@ def encode_decode(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
                 lists = _token_lists(tokens, offsets)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), lists, pa.array(np.diff(offsets).astype(np.int32)), pa.array(exact, pa.bool_())], names=["doc_id", "token_ids", "n_tokens", "exact"])
 
+    name = ship(docs.sparkSession, vocabulary)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     got = rows.mapInArrow(run, "doc_id long, token_ids array<int>, n_tokens int, exact boolean")
     known = F.col("exact").isNotNull()
