@@ -1,36 +1,43 @@
 """Training-order materialisation: token sequences in fixed-stride binary shards, ordered by a keyed permutation.
 
-Order. A sequence has an index made of its doc_id and its number within the document. A Feistel network over the next
-power of four, applied again until the value falls into the range of indexes (cycle walking), permutes these indexes
-under a key. The order of the permuted values is the training order; it depends on the key and the ids alone, not on
-how the table is laid out. The range of values is cut into as many equal parts as there are shards, so the partition of
-a sequence is known without sampling or counting, and one shuffle is enough. Within a shard the sequences lie in order
-without gaps, and a sequence's global slot is its place in its shard after all earlier shards.
+Order. A first pass counts the sequences of every task, so each sequence has an index from 0 to n - 1: its place in the
+table as it is read. A Feistel network over the next power of four, applied again until the value is below n (cycle
+walking), permutes these indexes under a key: the result is the sequence's global slot. Shard k holds the slots from
+k * rows to (k + 1) * rows, so a sequence's file and its place there follow from its slot by division, and one shuffle is
+enough. The order depends on the key, and on the order in which the table is read, which stays the same for the same files.
+
+Both passes must read the same rows in the same tasks. The second one compares what it reads with the counts and a
+checksum of the first, and a shard is written only if it holds exactly its slots; if a table doesn't hold still, or
+executors were lost in between and tasks are cut otherwise, it is written down first and read from there.
 
 Shard. Records of stride 16 + 2 * seq_len bytes, little endian: doc_id int64, seq int32, n_tokens int32, tokens uint16,
 filled up with the end token. A shard is written under another name and renamed, so a task that runs again, or twice,
-leaves the same file. The manifest names each shard with its first slot; reading from any slot takes one seek.
+leaves the same file. Reading from any slot takes one seek.
 """
 
 from __future__ import annotations
 
 import os
 import uuid
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import zstandard
 from pyarrow import fs
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quillmill.llm.bpe import VOCABULARY, Encoder, encoded_slices, load
+from quillmill.llm.bpe import VOCABULARY, Encoder, encoded_slices, load_shipped, ship, token_counts
 from quillmill.llm.ragged import U64, mix64
 from quillmill.llm.scratch import Scratch
 
 SEQ_LEN, END_TOKEN, KEY, ROUNDS = 512, 50_256, 0x5EED, 6
-#: Bytes of text per shard; sets the number of shards.
-SHARD_TEXT_BYTES = 32 << 20
+#: Sequences of a shard.
+SHARD_ROWS = 1 << 15
+#: Times that the two passes are tried.
+ATTEMPTS = 3
 
 
 def record_type(seq_len: int) -> np.dtype:
@@ -87,36 +94,76 @@ def _shard_name(shard: int) -> str:
     return f"shard-{shard:07d}.bin"
 
 
-def write_shards(spark: SparkSession, docs: DataFrame, out_dir: str, seq_len: int = SEQ_LEN, key: int = KEY, vocabulary: str = VOCABULARY, shard_text_bytes: int = SHARD_TEXT_BYTES) -> DataFrame:
-    """Writes the shards and returns the manifest: (shard, path, rows, first_slot), without shards of no sequence.
+def _checksum(before: int, docs: np.ndarray, pieces: np.ndarray) -> int:
+    return zlib.crc32(np.stack([docs, pieces]).astype("<i8").tobytes(), before)
+
+
+def _no_nulls(batch: pa.RecordBatch) -> tuple[np.ndarray, list[str]]:
+    return batch.column(0).to_numpy(), batch.column(1).to_pylist()
+
+
+def sequences_of_tasks(rows: DataFrame, vocabulary: str, seq_len: int) -> dict[int, tuple[int, int, int]]:
+    """Of every task that reads rows (doc_id, text): the index of its first sequence, their number, and a checksum."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, n, checksum = Encoder(load_shipped(vocabulary)), 0, 0
+        for batch in batches:
+            docs, texts = _no_nulls(batch)
+            pieces = token_counts(encoder, texts) // seq_len + 1  # with the end token
+            n, checksum = n + int(pieces.sum()), _checksum(checksum, docs, pieces)
+        yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([n], pa.int64()), pa.array([checksum], pa.int64())], names=["task", "n", "checksum"])
+
+    # A row per task comes to the driver, whatever the tasks hold.
+    found = sorted(map(tuple, rows.mapInArrow(count, "task int, n long, checksum long").collect()))
+    begin, out = 0, {}
+    for task, n, checksum in found:
+        out[task] = (begin, n, checksum)
+        begin += n
+    return out
 
-    A document gives its tokens and an end token, so an empty text gives one sequence. Rows with a null doc_id or text
-    are left out. Repeated rows are written as often as they occur, one after the other. An empty table gives no shard.
-    """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text")).dropna()
-    size = F.octet_length("text")
-    low, high, longest, total = rows.agg(F.min("doc_id"), F.max("doc_id"), F.max(size), F.sum(size.cast("long"))).first()
-    if low is None:
-        return spark.createDataFrame([], "shard int, path string, rows long, first_slot long")
-    per_doc = -(-(longest + 1) // seq_len)
-    ids = min(high - low + 1, (1 << 62) // per_doc)  # ids further apart than that share values; ties are broken below
-    domain = ids * per_doc
-    shards = max(1, -(-total // shard_text_bytes))
-    width = -(-domain // shards)
+
+def _placed(rows: DataFrame, tasks: dict[int, tuple[int, int, int]], vocabulary: str, seq_len: int, key: int, shard_rows: int) -> DataFrame:
+    """(shard, blob): the sequences of every task by shard, each with its slot."""
+    total = sum(n for _, n, _ in tasks.values())
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, pack = Encoder(load(vocabulary)), zstandard.ZstdCompressor(level=5)
+        encoder, pack = Encoder(load_shipped(vocabulary)), zstandard.ZstdCompressor(level=5)
+        begin, expected, expected_sum = tasks.get(TaskContext.get().partitionId(), (0, 0, 0))
+        n = checksum = 0
         for batch in batches:
-            names = batch.column(0).to_numpy()
-            for a, b, tokens, offsets in encoded_slices(encoder, batch.column(1).to_pylist()):
-                records = _records(names[a:b], tokens, offsets, seq_len)
-                value = permute(((records["doc_id"] - low).astype(U64) % U64(ids)).astype(np.int64) * per_doc + records["seq"], domain, key)
-                shard = value // width
+            docs, texts = _no_nulls(batch)
+            sizes = []
+            for a, b, tokens, offsets in encoded_slices(encoder, texts):
+                records = _records(docs[a:b], tokens, offsets, seq_len)
+                sizes.append(np.diff(offsets) // seq_len + 1)
+                if n + len(records) > expected:
+                    raise ValueError("the table has changed between two passes")
+                slot = permute(np.arange(begin + n, begin + n + len(records)), total, key)
+                n += len(records)
+                shard = slot // shard_rows
                 order = np.argsort(shard, kind="stable")
-                records, value, shard = records[order], value[order], shard[order]
+                records, slot, shard = records[order], slot[order], shard[order]
                 at = np.flatnonzero(np.diff(shard, prepend=-1)).tolist()
-                blobs = [pack.compress(value[i:j].tobytes() + records[i:j].tobytes()) for i, j in zip(at, [*at[1:], len(shard)])]
+                blobs = [pack.compress(slot[i:j].tobytes() + records[i:j].tobytes()) for i, j in zip(at, [*at[1:], len(shard)])]
                 yield pa.RecordBatch.from_arrays([pa.array(shard[at].astype(np.int32)), pa.array(blobs, pa.binary())], names=["shard", "blob"])
+            checksum = _checksum(checksum, docs, np.concatenate(sizes) if sizes else np.zeros(0, np.int64))
+        if (n, checksum) != (expected, expected_sum):
+            raise ValueError("the table has changed between two passes")
+
+    return rows.mapInArrow(cut, "shard int, blob binary")
+
+
+def write_shards(spark: SparkSession, docs: DataFrame, out_dir: str, seq_len: int = SEQ_LEN, key: int = KEY, vocabulary: str = VOCABULARY, shard_rows: int = SHARD_ROWS) -> DataFrame:
+    """Writes the shards and returns the manifest: (shard, path, rows, first_slot).
+
+    A document gives its tokens and an end token, so an empty text gives one sequence. Rows with a null doc_id or text
+    are left out. Repeated rows are written as often as they occur, and texts of any length whole. An empty table gives
+    no shard. Other columns aren't read. On a cluster out_dir must be a URI that all executors share.
+    """
+    if "://" not in out_dir and not out_dir.startswith("file:") and spark.sparkContext.master.split("[")[0] != "local":
+        raise ValueError("out_dir must be a URI of a folder that all executors share")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text")).dropna()
+    scratch, name = Scratch(spark, "shards"), ship(spark, vocabulary)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = record_type(seq_len)
@@ -126,18 +173,18 @@ def write_shards(spark: SparkSession, docs: DataFrame, out_dir: str, seq_len: in
         def flush(shard: int, blobs: list[bytes]) -> pa.RecordBatch:
             parts = [unpack.decompress(x) for x in blobs]
             n = [len(x) // (8 + kind.itemsize) for x in parts]
-            value = np.concatenate([np.frombuffer(x, np.int64, k) for x, k in zip(parts, n)])
+            slot = np.concatenate([np.frombuffer(x, np.int64, k) for x, k in zip(parts, n)])
             records = np.concatenate([np.frombuffer(x, kind, k, 8 * k) for x, k in zip(parts, n)])
-            order = np.argsort(value, kind="stable")
-            same = np.flatnonzero(value[order][1:] == value[order][:-1])
-            if len(same):  # repeated rows, or ids that share values: the bytes decide
-                order = np.array(sorted(order.tolist(), key=lambda i: (value[i], records[i].tobytes())))
+            order = np.argsort(slot)
+            first = shard * shard_rows
+            if not np.array_equal(slot[order], np.arange(first, min(first + shard_rows, total))):
+                raise ValueError(f"shard {shard} doesn't hold each of its slots once")
             path = f"{root}/{_shard_name(shard)}"
             with system.open_output_stream(draft := f"{path}.{uuid.uuid4().hex}") as f:
                 for a in range(0, len(order), 4096):
                     f.write(records[order[a : a + 4096]].tobytes())
             system.move(draft, path)
-            return pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([f"{out_dir}/{_shard_name(shard)}"]), pa.array([len(order)], pa.int64())], names=["shard", "path", "rows"])
+            return pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([f"{out_dir}/{_shard_name(shard)}"]), pa.array([len(order)], pa.int64()), pa.array([first], pa.int64())], names=["shard", "path", "rows", "first_slot"])
 
         system.create_dir(root, recursive=True)
         current, held = None, []
@@ -151,13 +198,24 @@ def write_shards(spark: SparkSession, docs: DataFrame, out_dir: str, seq_len: in
         if held:
             yield flush(current, held)
 
-    parts = min(shards, 20_000)
-    placed = rows.mapInArrow(cut, "shard int, blob binary").repartitionById(parts, F.expr(f"cast(shard div {-(-shards // parts)} as int)"))
-    if shards > parts:
-        placed = placed.sortWithinPartitions("shard")
-    manifest = Scratch(spark, "shards").write(placed.mapInArrow(write, "shard int, path string, rows long"), "manifest")
-    # One row per shard: small enough for a single window, whatever the shards hold.
-    return manifest.selectExpr("shard", "path", "rows", "coalesce(sum(rows) over (order by shard rows between unbounded preceding and 1 preceding), 0L) as first_slot")
+    schema = "shard int, path string, rows long, first_slot long"
+    for attempt in range(ATTEMPTS):
+        tasks = sequences_of_tasks(rows, name, seq_len)
+        total = sum(n for _, n, _ in tasks.values())
+        if not total:
+            return spark.createDataFrame([], schema)
+        shards = -(-total // shard_rows)
+        parts = min(shards, 20_000)
+        placed = _placed(rows, tasks, name, seq_len, key, shard_rows).repartitionById(parts, F.expr(f"cast(shard div {-(-shards // parts)} as int)"))
+        if shards > parts:
+            placed = placed.sortWithinPartitions("shard")
+        try:
+            return scratch.write(placed.mapInArrow(write, schema), f"manifest{attempt}")
+        except Exception as e:  # noqa: BLE001 - what a task raised comes as one of several kinds
+            if attempt + 1 == ATTEMPTS or "between two passes" not in str(e):
+                raise
+            rows = scratch.write(rows, f"rows{attempt}")
+    raise AssertionError
 
 
 def read_records(path: str, seq_len: int, begin: int = 0, rows: int | None = None) -> np.ndarray:
@@ -195,6 +253,9 @@ def read_shards(manifest: DataFrame, seq_len: int = SEQ_LEN, from_slot: int = 0)
 
 
 def training_order(spark: SparkSession, docs: DataFrame, **options) -> DataFrame:
-    """Writes shards into the shared folder and returns every sequence as read from them."""
+    """Writes shards into the shared folder and returns every sequence as read from them, with its global slot.
+
+    For nulls, empty, long and repeated texts, empty tables and other columns see write_shards.
+    """
     manifest = write_shards(spark, docs, Scratch(spark, "sequences").path("bin"), **options)
     return read_shards(manifest, options.get("seq_len", SEQ_LEN))
