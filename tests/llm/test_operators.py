@@ -41,6 +41,68 @@ def test_best_fit_is_best_fit():
     assert packing.best_fit(lengths, 100).tolist() == [0, 1, 0, 1, 1]
 
 
+def naive_best_fit(items, capacity):
+    """Items (length, name) longest first; each goes where the least room remains, the bin opened or filled last of equals."""
+    bins = []  # (room, time of the last change, content)
+    for t, (n, name) in enumerate(items):
+        fitting = [b for b in bins if b[0] >= n]
+        if fitting:
+            best = min(fitting, key=lambda b: (b[0], -b[1]))
+            best[0] -= n
+            best[1] = t
+            best[2].append(name)
+        else:
+            bins.append([capacity - n, t, [name]])
+    return [b[2] for b in bins]
+
+
+def test_best_fit_equals_the_naive_one():
+    rng = random.Random(8)
+    for _ in range(60):
+        lengths = [rng.randrange(1, 101) for _ in range(rng.randrange(1, 60))]
+        order = sorted(range(len(lengths)), key=lambda i: -lengths[i])
+        got = packing.best_fit(np.array(lengths), 100)
+        want = naive_best_fit([(lengths[i], i) for i in order], 100)
+        assert sorted(sorted(np.flatnonzero(got == b).tolist()) for b in set(got.tolist())) == sorted(map(sorted, want))
+
+
+@pytest.mark.parametrize("group_items", [1000, 30])
+def test_packing_equals_the_naive_rounds(spark, group_items):
+    from pyspark.sql import functions as F
+
+    rng = random.Random(12)
+    lengths = [(i % 90, rng.choice((3, 20, 45, 55, 70, 100, 130))) for i in range(120)] + [(7, 20)] * 15
+    docs = docs_of(spark, [(i, "a " * n) for i, n in lengths])
+    got = sorted(tuple((x["doc_id"], x["start"], x["length"]) for x in b["items"]) for b in rows(packing.pack(spark, docs, capacity=100, group_items=group_items)))
+    copies, items, want = {}, [], []
+    for i, n in lengths:
+        want += [((i, k * 100, 100),) for k in range(n // 100)]
+        copies[i, n] = copies.get((i, n), 0) + 1
+        if n % 100:
+            items.append((i, n, copies[i, n]))
+    groups = -(-len(items) // group_items)
+    hashed = spark.createDataFrame(items, "i long, n long, c long").select("i", "n", "c", F.pmod(F.xxhash64("i", "n", "c"), F.lit(groups)))
+    current = [(g, i, n % 100, ((i, n - n % 100, n % 100),)) for i, n, c, g in map(tuple, hashed.collect())]
+    while True:
+        left = []
+        for g in sorted({x[0] for x in current}):
+            mine = sorted((x for x in current if x[0] == g), key=lambda x: (-x[2], x[1], x[3][0][1], len(x[3])))
+            for content in naive_best_fit([(x[2], x) for x in mine], 100):
+                joined = tuple(p for x in content for p in x[3])
+                size = sum(x[2] for x in content)
+                if groups == 1 or size > 99:
+                    want.append(joined)
+                else:
+                    left.append((g, min(x[1] for x in content), size, joined))
+        merged = max(1, -(-len(left) // group_items))
+        if groups == 1 or not left or merged == groups:
+            want += [x[3] for x in left]
+            break
+        current = [(g * merged // groups, *rest) for g, *rest in left]
+        groups = merged
+    assert [sorted(x) for x in got] == [sorted(x) for x in sorted(want)] or sorted(map(sorted, got)) == sorted(map(sorted, want))
+
+
 def hamming(a, b):
     return int(np.bitwise_count(a ^ b).sum())
 
@@ -125,19 +187,57 @@ def test_feistel_is_a_permutation():
 
 
 def test_shards_hold_all_tokens_in_the_keyed_order(spark, tmp_path):
-    texts = [(i, "hello world " * (i % 7)) for i in range(40)]
-    manifest = shards.write_shards(spark, docs_of(spark, texts), str(tmp_path), seq_len=8, shard_text_bytes=400)
-    assert manifest.count() > 3
-    got = sorted(rows(shards.read_shards(manifest, 8)), key=lambda r: r["slot"])
-    assert [r["slot"] for r in got] == list(range(len(got)))
-    per_doc = {}
-    for r in got:
-        per_doc.setdefault(r["doc_id"], {})[r["seq"]] = r["token_ids"]
+    texts = [(i, "hello world " * (i % 7)) for i in range(40)] + [(3, "again"), (3, "again"), (4, None), (None, "x")]
     encoder = bpe.Encoder(bpe.load())
-    for i, t in texts:
-        assert [x for s in sorted(per_doc[i]) for x in per_doc[i][s]] == [*encoder.encode([t])[0].tolist(), shards.END_TOKEN]
-    rest = sorted(r["slot"] for r in rows(shards.read_shards(manifest, 8, from_slot=17)))
-    assert rest == list(range(17, len(got)))
+    source = str(tmp_path / "docs")
+    docs_of(spark, texts).repartition(5).write.parquet(source)
+    docs = spark.read.parquet(source)
+    manifest = shards.write_shards(spark, docs, str(tmp_path / "out"), seq_len=8, shard_rows=20)
+    got = {r["slot"]: (r["doc_id"], r["seq"], r["token_ids"]) for r in rows(shards.read_shards(manifest, 8))}
+    # The order recomputed in plain Python: documents as they are read, cut into sequences, slots by the permutation.
+    flat = []
+    for r in docs.select("doc_id", "text").dropna().collect():
+        tokens = [*encoder.encode([r.text])[0].tolist(), shards.END_TOKEN]
+        flat += [(r.doc_id, k // 8, tokens[k : k + 8]) for k in range(0, len(tokens), 8)]
+
+    def slot(x):
+        half, keys = max(1, ((len(flat) - 1).bit_length() + 1) // 2), shards.round_keys(shards.KEY)
+        while True:
+            left, right = x >> half, x & (1 << half) - 1
+            for k in keys:
+                mixed = int(shards.mix64(np.array([(right + k) % (1 << 64)], np.uint64))[0])
+                left, right = right, left ^ mixed & (1 << half) - 1
+            x = left << half | right
+            if x < len(flat):
+                return x
+
+    assert got == {slot(i): x for i, x in enumerate(flat)}
+    assert manifest.count() == -(-len(flat) // 20)
+    assert all(r["first_slot"] == 20 * r["shard"] and r["rows"] == min(20, len(flat) - r["first_slot"]) for r in rows(manifest))
+    assert sorted(r["slot"] for r in rows(shards.read_shards(manifest, 8, from_slot=17))) == list(range(17, len(flat)))
+
+
+def test_shards_of_a_table_that_does_not_hold_still(spark, tmp_path):
+    import os
+
+    from pyspark.sql import functions as F
+
+    changing = F.udf(lambda: "word " * (os.urandom(1)[0] % 40)).asNondeterministic()
+    docs = spark.range(2000).select(F.col("id").alias("doc_id"), changing().alias("text"))
+    manifest = shards.write_shards(spark, docs, str(tmp_path), seq_len=8, shard_rows=100)
+    got = rows(shards.read_shards(manifest, 8))
+    assert sorted(r["slot"] for r in got) == list(range(len(got))) and {r["doc_id"] for r in got} == set(range(2000))
+
+
+def test_long_texts_are_encoded_in_parts():
+    rng = random.Random(3)
+    text = " ".join("".join(rng.choice("abcdefg é") for _ in range(6)) for _ in range(100_000))
+    assert len(text) > bpe.SLICE_CHARS
+    encoder = bpe.Encoder(bpe.load())
+    (_, _, tokens, _), = bpe.encoded_slices(encoder, [text])
+    assert tokens.tolist() == encoder.encode([text])[0].tolist()
+    assert bpe.token_counts(encoder, [text, "", text[:50]]).tolist() == [len(tokens), 0, len(encoder.encode([text[:50]])[0])]
+    assert encoder.vocabulary.decode(tokens).tobytes().decode() == text
 
 
 def test_bpe_agrees_with_the_plain_algorithm():
@@ -252,7 +352,7 @@ def test_page_differences(spark):
 
 
 def test_captures(spark):
-    pages = spark.createDataFrame([(1, "http://a.org/x", "<p>é</p>"), (2, None, None), (None, "http://b.org", "x")], "page_id long, url string, html string")
+    pages = spark.createDataFrame([(1, "http://a.org/x", "<p>é</p>", "c"), (2, None, None, "c"), (None, "http://b.org", "x", "c")], "page_id long, url string, html string, label string")
     got = {r["page_id"]: r for r in rows(warc.captures(spark, pages))}
     assert set(got) == {1, 2}
     assert bytes(got[1]["response"]["body"]).decode() == "<p>é</p>" and got[1]["request"]["start_line"] == "GET /x HTTP/1.1"
@@ -262,6 +362,68 @@ def test_captures(spark):
     assert [r["capture_id"] for r in rows(extra)] == ["<urn:x>"]
 
 
+def test_repeated_pages_give_captures_of_their_own(spark):
+    pages = [(1, "http://a.org", "one"), (1, "http://a.org", "two"), (1, "http://a.org", "two"), (2, "http://a.org", "two"), (3, "u", "x" * 3_000_000)]
+    got = rows(warc.captures(spark, spark.createDataFrame(pages, "page_id long, url string, html string")))
+    assert sorted((r["page_id"], bytes(r["response"]["body"]).decode()) for r in got) == sorted((p, h) for p, _, h in pages)
+    assert all(len(r["metadata"]) == 1 and r["request"] and r["others"] == [] for r in got) and len({r["capture_id"] for r in got}) == 5
+
+
+def record(kind, name, to=(), body=b"b"):
+    head = [b"WARC/1.1", b"WARC-Type: " + kind, b"WARC-Record-ID: <urn:%d>" % name, *(b"WARC-Concurrent-To: <urn:%d>" % t for t in to), b"Content-Length: %d" % len(body)]
+    return b"\r\n".join(head) + b"\r\n\r\n" + body + b"\r\n\r\n"
+
+
+def test_captures_are_the_components_of_the_links(spark):
+    rng = random.Random(9)
+    n = 300
+    kinds = [rng.choice((b"response", b"request", b"metadata", b"resource")) for _ in range(n)]
+    # Chains, cycles, several targets, targets that no record has, and records that name themselves.
+    to = [[rng.randrange(max(0, i - 4), i + 3) if rng.random() < 0.9 else 1000 + rng.randrange(4) for _ in range(rng.choice((0, 0, 1, 1, 2)))] if i % 5 else [] for i in range(n)]
+    raw = spark.createDataFrame([(record(k, i, t),) for i, (k, t) in enumerate(zip(kinds, to))], "raw binary")
+    parent = {}
+
+    def root(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for i, ts in enumerate(to):
+        root(i)
+        for t in ts:
+            parent[root(i)] = root(t)
+    want = {}
+    for i in range(n):
+        want.setdefault(root(i), set()).add(f"<urn:{i}>")
+
+    def ids(r):
+        return {x["record_id"] for x in [r["response"], r["request"], *r["metadata"], *r["others"]] if x}
+
+    assert sorted(map(sorted, map(ids, rows(warc.assemble(spark, raw))))) == sorted(map(sorted, want.values()))
+
+
+def test_warc_files_are_read_as_streams(spark, tmp_path, monkeypatch):
+    import gzip
+
+    records = [record(b"response", i, body=bytes([65 + i]) * size) for i, size in enumerate((0, 10, 3_000_000, 5))]
+    plain = [r.rstrip(b"\r\n") for r in records]
+    whole = b"\r\n".join(records)
+    members = b"".join(gzip.compress(r) for r in records)
+    (tmp_path / "a.warc").write_bytes(b"junk WAR" + whole)
+    (tmp_path / "b.warc.gz").write_bytes(members)
+    (tmp_path / "cut.warc.gz").write_bytes(members[:-9])
+    (tmp_path / "cut.warc").write_bytes(whole[:-6])
+    (tmp_path / "empty.warc").write_bytes(b"")
+    ids = sorted(warc.parse_record(bytes(r["raw"]))[0] for r in rows(warc.read_warc(spark, str(tmp_path))))
+    assert ids == sorted([f"<urn:{k}>" for k in range(4)] * 2 + [f"<urn:{k}>" for k in range(3)] + [f"<urn:{k}>" for k in (0, 1, 2)] + ["<urn:3>"] * (ids.count("<urn:3>") - 2))
+    for data in (whole, members):
+        for step in (1000, len(data)):
+            got = list(warc.split_warc(data[k : k + step] for k in range(0, len(data), step)))
+            assert [g.rstrip(b"\r\n") for g in got] == plain
+    assert list(warc.split_warc([whole[:-6]])) == [r[:-4] for r in records[:3]]
+    assert list(warc.split_warc([gzip.compress(records[0]), b"damaged"])) == [records[0][:-4]]
+
+
 @pytest.mark.parametrize("kind", ["odd", "empty"])
 def test_odd_tables(spark, kind):
     docs = docs_of(spark, ODD if kind == "odd" else [])
