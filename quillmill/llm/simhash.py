@@ -247,11 +247,12 @@ def node_sizes(turned: DataFrame, n: int, node_size: int) -> tuple[int, list[tup
     """The depth of nodes, and (block, node, chunks) of those that hold more than node_size of the n fingerprints there.
 
     The depth is the least at which at most a tenth of the fingerprints of any block lie in such nodes. Sizes are
-    counted, since bits are biased. At most BLOCKS * 2**18 counts come to the driver.
+    counted, since bits are biased, down to 64 times as many nodes as even bits would call for. That many counts, and at most
+    BLOCKS * 2**18, come to the driver.
     """
     if n <= node_size:
         return 0, []
-    least = min(BITS * (r + 1) // BLOCKS - BITS * r // BLOCKS for r in range(BLOCKS))
+    least = min(((n - 1) // node_size).bit_length() + 6, *(BITS * (r + 1) // BLOCKS - BITS * r // BLOCKS for r in range(BLOCKS)))
     counts = turned.groupBy("r", _top_bits(least).alias("at")).count().toArrow()
     key = counts["r"].to_numpy().astype(np.int64) << least | counts["at"].to_numpy()
     for depth in range(least + 1):
