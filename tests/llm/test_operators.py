@@ -1,5 +1,6 @@
 """The ten operators against brute force, round trips and odd tables."""
 
+import hashlib
 import random
 
 import numpy as np
@@ -41,6 +42,56 @@ def test_best_fit_is_best_fit():
     assert packing.best_fit(lengths, 100).tolist() == [0, 1, 0, 1, 1]
 
 
+def nearest_by_scanning(pages):
+    """Every page's partner by trying all pages of its host: the closest path on either side, then the closer side."""
+    lines = [html_diff.text_lines(h) for _, _, h in pages]
+    content = [hashlib.md5(",".join(map(str, html_diff._hashes(x))).encode()).digest() for x in lines]
+    split = [u.split("://", 1)[1].partition("/") for _, u, _ in pages]
+    place = [(host, slash + path, c) for (host, slash, path), c in zip(split, content)]
+
+    def common(x, y):
+        k = 0
+        while k < min(len(x), len(y)) and x[k] == y[k]:
+            k += 1
+        return k
+
+    out = []
+    for me in place:
+        others = [p for p in place if p[0] == me[0] and p[2] != me[2]]
+        before, after = max((p for p in others if p < me), default=None), min((p for p in others if p > me), default=None)
+        close = lambda p: (common(me[1].split("/"), p[1].split("/")), common(me[1], p[1]))  # noqa: B023, E731
+        out.append(before if after is None else after if before is None else after if close(after) > close(before) else before)
+    return lines, place, out
+
+
+def test_every_page_meets_its_nearest(spark, monkeypatch):
+    monkeypatch.setattr(html_diff, "PART_ENTRIES", 7)
+    rng = random.Random(11)
+    bodies = [f"<p>Home</p><p>{' '.join(rng.choice('abcdefgh') for _ in range(3))}</p><p>Legal</p><p>End</p>" for _ in range(8)]
+    pages = []
+    for i in range(150):
+        host = rng.choice(("a.org", "a.org", "b.org"))
+        # A run of copies over several ranges lies in the middle of a host.
+        path = "/".join(rng.choice(("x", "y", "long-name", "m")) for _ in range(rng.randrange(1, 4)))
+        pages.append((i, f"http://{host}/{path}/{rng.randrange(30)}", rng.choice(bodies)))
+    pages += [(200 + i, f"http://a.org/m/{i:03d}", bodies[0]) for i in range(60)] + [pages[0], pages[0]]
+    got = sorted((r["page_id"], r["partner_path"], r["text"]) for r in rows(html_diff.page_differences(spark, spark.createDataFrame(pages, "page_id long, url string, html string"))))
+    lines, place, partners = nearest_by_scanning(pages)
+    by_content = dict(zip((p[2] for p in place), lines))
+    want = []
+    for (i, _, _), mine, partner in zip(pages, lines, partners):
+        shared = set(html_diff.common_subsequence(html_diff._hashes(mine), html_diff._hashes(by_content[partner[2]]))) if partner else ()
+        want.append((i, partner and partner[1], "\n".join(x for k, x in enumerate(mine) if k not in shared)))
+    assert got == sorted(want)
+
+
+def test_pages_with_odd_columns(spark):
+    page = lambda body: f"<nav>Home</nav><p>{body}</p>"
+    odd = [(1, "http://a.org/1", page("one"), "h", "n"), (2, "http://a.org/2", page("two " * 200_000), "h", "n"), (3, "http://a.org/3", "", "h", "n")]
+    df = spark.createDataFrame(odd, "page_id long, url string, html string, host string, name string")
+    assert {r["page_id"]: r["text"] for r in rows(html_diff.page_differences(spark, df))} == {1: "one", 2: ("two " * 200_000).strip(), 3: ""}
+
+
 def naive_best_fit(items, capacity):
     """Items (length, name) longest first; each goes where the least room remains, the bin opened or filled last of equals."""
     bins = []  # (room, time of the last change, content)
