@@ -1,75 +1,99 @@
-"""Splitting texts into chunks."""
+"""Splitting texts into chunks. A text is cut within its row, so nothing here shuffles."""
 
 from __future__ import annotations
 
-from collections import deque
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from quillmill.functions import lines as L
+from quillmill.functions import lines as L, patterns as P, splitting as S
+from quillmill.functions.splitting import Sizes, Tokenizer, plain_tokens, split_text
 
-SEPARATORS = ("\n### ", "\n## ", "\n# ", "\n\n", "\n", ". ", " ", "")
 SIZE, OVERLAP = 1000, 200
 WINDOW_TOKENS, TOKEN_OVERLAP = 600, 100
 
+__all__ = ["Sizes", "split_text"]
 
-def _merged(pieces: list[str], size: int, overlap: int) -> Iterator[str]:
-    held: deque[str] = deque()
-    total = 0
-    for piece in pieces:
-        if total + len(piece) > size and held:
-            if text := "".join(held).strip():
-                yield text
-            while held and (total > overlap or total + len(piece) > size):
-                total -= len(held.popleft())
-        held.append(piece)
-        total += len(piece)
-    if text := "".join(held).strip():
-        yield text
+Cutter = Callable[..., Iterable[tuple[str | None, str]]]
 
 
-def split_text(text: str, size: int = SIZE, overlap: int = OVERLAP, separators: Sequence[str] = SEPARATORS) -> Iterator[str]:
-    """Chunks of at most `size` characters: cut at the first separator that occurs, and further where that isn't enough.
+def _cut(docs: DataFrame, cutter: Cutter, overlap: int, key: str, carry: tuple[str, ...] = (), extra: Column | None = None) -> DataFrame:
+    """(key, *carry, chunk_index, total_chunks, chunk_size, chunk_title, start_char, content) of what cutter yields.
 
-    A separator stays at the start of the piece that follows it. Neighbouring chunks share up to `overlap` characters.
+    start_char is where the chunk was found in its text: see splitting.positions. `extra` is handed to cutter as well.
+    Null texts and texts without a character give no chunk. Columns named in carry go along.
     """
-    at = next((k for k, s in enumerate(separators) if s in text), len(separators))
-    rest = separators[at + 1 :]
-    if at == len(separators):
-        pieces = [text]
-    elif not separators[at]:
-        pieces = list(text)
-    else:
-        first, *more = text.split(separators[at])
-        pieces = [first, *(separators[at] + p for p in more)]
-    held: list[str] = []
-    for piece in filter(None, pieces):
-        if len(piece) < size:
-            held.append(piece)
-            continue
-        yield from _merged(held, size, overlap)
-        held = []
-        if rest:
-            yield from split_text(piece, size, overlap, rest)
-        else:
-            yield piece
-    yield from _merged(held, size, overlap)
-
-
-def standard_chunks(docs: DataFrame, size: int = SIZE, overlap: int = OVERLAP, key: str = "doc_id") -> DataFrame:
-    """(key, chunk_index, total_chunks, chunk_size, content); texts without a character give no chunk. No shuffle."""
-    kind = docs.schema[key].dataType.simpleString()
+    kept = [key, *carry]
+    schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept)
+    chunk = pa.list_(pa.struct([("chunk_title", pa.string()), ("start_char", pa.int32()), ("content", pa.string())]))
+
+    def one(text: str | None, more) -> list[dict]:
+        pieces = list(cutter(text, more) if extra is not None else cutter(text)) if text else []
+        places = S.positions(text or "", [c for _, c in pieces], overlap)
+        return [{"chunk_title": t, "start_char": at, "content": c} for (t, c), at in zip(pieces, places)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            chunks = [list(split_text(t or "", size, overlap)) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(chunks, pa.list_(pa.string()))], names=[key, "chunks"])
+            n = batch.num_columns
+            chunks = [one(t, m) for t, m in zip(batch.column(n - 2).to_pylist(), batch.column(n - 1).to_pylist())]
+            yield pa.RecordBatch.from_arrays([*batch.columns[: n - 2], pa.array(chunks, chunk)], names=[*kept, "chunks"])
+
+    given = docs.select(*kept, F.col("text").alias("__text"), (F.lit(None).cast("boolean") if extra is None else extra).alias("__extra"))
+    split = given.mapInArrow(run, f"{schema}, chunks array<struct<chunk_title:string,start_char:int,content:string>>")
+    rows = split.select(*kept, F.size("chunks").alias("total_chunks"), F.posexplode("chunks").alias("chunk_index", "c"))
+    return rows.select(*kept, "chunk_index", "total_chunks", F.length("c.content").alias("chunk_size"), "c.chunk_title", "c.start_char", "c.content")
+
+
+def _untitled(f: Callable[..., Iterable[str]]) -> Cutter:
+    return lambda *args: ((None, c) for c in f(*args))
+
+
+def standard_chunks(docs: DataFrame, size: int = SIZE, overlap: int = OVERLAP, key: str = "doc_id", carry: tuple[str, ...] = ()) -> DataFrame:
+    """(key, *carry, chunk_index, total_chunks, chunk_size, content) by the recursive splitter, of texts as they are."""
+    return _cut(docs, _untitled(lambda t: split_text(t, size, overlap)), overlap, key, carry).drop("chunk_title", "start_char")
+
+
+def adaptive_chunks(docs: DataFrame, sizes: Sizes = Sizes(), key: str = "doc_id", carry: tuple[str, ...] = ()) -> DataFrame:
+    """Chunks by the type of a text's content, with start_char."""
+    return _cut(docs, _untitled(lambda t: S.adaptive(t, sizes)), sizes.overlap, key, carry).drop("chunk_title")
+
+
+def section_chunks(docs: DataFrame, sizes: Sizes = Sizes(), level: int | None = None, key: str = "doc_id", carry: tuple[str, ...] = ()) -> DataFrame:
+    """Chunks by sections, with chunk_title and start_char."""
+    return _cut(docs, lambda t: S.by_sections(t, sizes, level), sizes.overlap, key, carry)
+
+
+def is_procedural(file_name: Column) -> Column:
+    """Whether a name says that the document tells how to do or to repair something."""
+    low = F.lower(F.coalesce(file_name, F.lit("")))
+    out = F.lit(False)
+    for word in P.PROCEDURE_NAMES:
+        out = out | low.contains(word)
+    return out
+
+
+def hybrid_chunks(docs: DataFrame, sizes: Sizes = Sizes(), by_sentences: bool = False, key: str = "doc_id", carry: tuple[str, ...] = ()) -> DataFrame:
+    """Chunks by sections, and within them by type; by sentences in procedures, or everywhere if so asked."""
+    procedural = F.lit(True) if by_sentences else is_procedural(F.col("file_name")) if "file_name" in docs.columns else F.lit(False)
+    return _cut(docs, lambda t, p: S.hybrid(t, sizes, bool(p)), sizes.overlap, key, carry, procedural)
 
-    split = docs.select(key, "text").mapInArrow(run, f"`{key}` {kind}, chunks array<string>")
-    exploded = split.select(key, F.size("chunks").alias("total_chunks"), F.posexplode("chunks").alias("chunk_index", "content"))
-    return exploded.select(key, "chunk_index", "total_chunks", F.length("content").alias("chunk_size"), "content")
+
+def boundary_chunks(docs: DataFrame, provider: Callable[[list[str]], list[list[tuple[str, str]]]], most: int = 2000, sample: int = 12_000, key: str = "doc_id", carry: tuple[str, ...] = ()) -> DataFrame:
+    """Chunks where a provider says that sections begin.
+
+    provider takes texts, cut to `sample` characters, and returns a list of (title, first characters) for each; what it
+    names must occur in the text. Where it fails or finds nothing the text is one chunk. Cuts are made in the whole text.
+    """
+
+    def cutter(text: str) -> list[tuple[str, str]]:
+        try:
+            (found,) = provider([text[:sample]])
+        except Exception:  # noqa: BLE001 - a provider may fail in any way, and the text must not be lost
+            found = []
+        return S.split_by_excerpts(text, found, most)
+
+    return _cut(docs, cutter, 0, key, carry)
 
 
 def sentences(text: Column, longer_than: int = 15) -> Column:
@@ -79,7 +103,7 @@ def sentences(text: Column, longer_than: int = 15) -> Column:
 
 
 def sentence_windows(docs: DataFrame, reach: int = 2, key: str = "doc_id") -> DataFrame:
-    """(key, sentence_index, sentence, context): each sentence with `reach` sentences on either side. No shuffle."""
+    """(key, sentence_index, sentence, context): each sentence with `reach` sentences on either side."""
     rows = docs.where(F.length("text") > 0).select(key, sentences(F.col("text")).alias("s"))
     one = rows.select(key, "s", F.posexplode("s").alias("sentence_index", "sentence"))
     begin = F.greatest(F.col("sentence_index") - reach, F.lit(0))
@@ -88,7 +112,7 @@ def sentence_windows(docs: DataFrame, reach: int = 2, key: str = "doc_id") -> Da
 
 
 def tokens(text: Column) -> Column:
-    """The default tokens: runs of characters that aren't white space."""
+    """The simplest tokens: runs of characters that aren't white space."""
     return F.regexp_extract_all(text, F.lit(r"(\S+)"), F.lit(1))
 
 
@@ -103,12 +127,38 @@ def token_windows(docs: DataFrame, size: int = WINDOW_TOKENS, overlap: int = TOK
 
 
 def table_blocks(docs: DataFrame, key: str = "doc_id") -> DataFrame:
-    """(key, block, is_table, content): runs of table and other lines; a blank line belongs to the run before it."""
-    lines = docs.select(key, F.posexplode(L.lines_of(F.col("text"))).alias("line_no", "line"))
-    order = Window.partitionBy(key).orderBy("line_no")
-    kind = F.when(~L.is_blank(F.col("line")), L.is_table_line(F.col("line")))
-    lines = lines.withColumn("is_table", F.coalesce(F.last(kind, True).over(order.rowsBetween(Window.unboundedPreceding, 0)), F.lit(False)))
-    begins = (F.col("is_table") != F.lag("is_table").over(order)).cast("int")
-    lines = lines.withColumn("block", F.coalesce(F.sum(begins).over(order.rowsBetween(Window.unboundedPreceding, 0)), F.lit(0)))
-    got = lines.groupBy(key, "block", "is_table").agg(F.array_sort(F.collect_list(F.struct("line_no", "line"))).alias("r"))
-    return got.select(key, F.col("block").cast("int").alias("block"), "is_table", F.array_join("r.line", "\n").alias("content"))
+    """(key, block, is_table, content): tables and what lies between them, in turn; a blank line goes with a table before it.
+
+    One letter per line: t table, b blank, o other; runs are matched in that string, within the row.
+    """
+    lines = F.col("__lines")
+    codes = L.letter_per_line(lines, lambda x, i: F.when(L.is_table_line(x), "t").when(L.is_blank(x), "b").otherwise("o"))
+    rows = docs.where("text IS NOT NULL").select(key, L.lines_of(F.col("text")).alias("__lines")).withColumn("__runs", F.regexp_extract_all(codes, F.lit("(t[tb]*|[ob]+)"), F.lit(1)))
+    ends = F.transform("__runs", lambda r, i: F.struct(r.startswith("t").alias("is_table"), F.length(F.array_join(F.slice("__runs", 1, i), "")).alias("begin"), F.length(r).alias("n")))
+    cut = F.transform(ends, lambda e: F.struct(e["is_table"].alias("is_table"), L.strip(L.joined(F.slice(lines, e["begin"] + 1, e["n"]))).alias("content")))
+    rows = rows.select(key, F.posexplode(F.filter(cut, lambda b: F.length(b["content"]) > 0)).alias("block", "b"))
+    return rows.select(key, "block", "b.*")
+
+
+def token_count(text: Column, tokenizer: Tokenizer | None = None) -> Column:
+    """Tokens of a text, 0 for null. The default tokenizer's are counted without Python."""
+    if tokenizer is None:
+        return F.coalesce(F.regexp_count(text, F.lit(r"[\p{L}\p{N}]+|[^\p{L}\p{N}\s]")), F.lit(0))
+    count = F.arrow_udf(lambda texts: pa.array([len(tokenizer(t)) if t else 0 for t in texts.to_pylist()], pa.int32()), "int")
+    return count(text)
+
+
+def rechunk(chunks: DataFrame, most: int = WINDOW_TOKENS, overlap: int = TOKEN_OVERLAP, tokenizer: Tokenizer | None = None, col: str = "content") -> DataFrame:
+    """chunks with token_count and sub_index: those of more than `most` tokens are cut, tables that fit stay whole.
+
+    sub_index counts the parts of a chunk from 0 and is null where it wasn't cut. Other columns go along.
+    """
+    cutter = tokenizer or plain_tokens
+    parts = F.arrow_udf(lambda texts: pa.array([list(S.token_chunks(t, most, overlap, cutter)) for t in texts.to_pylist()], pa.list_(pa.string())), "array<string>")
+    counted = chunks.withColumn("token_count", token_count(F.col(col), tokenizer))
+    fine = counted.where(F.col("token_count") <= most).withColumn("sub_index", F.lit(None).cast("int"))
+    long = counted.where(F.col("token_count") > most)
+    others = [c for c in counted.columns if c not in (col, "token_count")]
+    cut = long.withColumn("__parts", parts(F.col(col))).select(*others, F.posexplode("__parts").alias("sub_index", col))
+    cut = cut.withColumn("token_count", token_count(F.col(col), tokenizer))
+    return fine.unionByName(cut)

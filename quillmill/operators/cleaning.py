@@ -264,17 +264,20 @@ def clean(df: DataFrame, profile: str = "default", is_ocr: bool = False, corrupt
     return PROFILES[profile](df, is_ocr, corrupted)
 
 
-def clean_for_chunking(df: DataFrame, source_col: str = "source", least: int = 50) -> DataFrame:
+def clean_for_chunking(df: DataFrame, source_col: str = "source", least: int = 50, corrupted: bool = True) -> DataFrame:
     """Marked texts get the light profile, others the one for manuals; what has under 50 characters left becomes null.
 
-    Texts from a path with "scan" or "_ocr" count as OCR.
+    Texts from a path with "scan" or "_ocr" count as OCR. One chain for all rows: where a step isn't for a row, the text
+    that it would change is handed to it as null, and the one before is kept.
     """
-    low = F.lower(F.coalesce(F.col(source_col), F.lit("")))
+    low = F.lower(F.coalesce(F.col(source_col), F.lit(""))) if source_col in df.columns else F.lit("")
     df = df.withColumn("__ocr", F.contains(low, F.lit("scan")) | F.contains(low, F.lit("_ocr"))).withColumn("__marked", has_marker(F.col("text")))
-    parts = [clean_light(df.where("__marked AND NOT __ocr")), clean_light(df.where("__marked AND __ocr"), True)]
-    parts += [clean_technical_manual(df.where("NOT __marked AND NOT __ocr")), clean_technical_manual(df.where("NOT __marked AND __ocr"), True)]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+
+    def only(step: Transform, rows: Column) -> Transform:
+        return lambda d: step(d.withColumn("__kept", F.col("text")).withColumn("text", F.when(rows, F.col("text")))).withColumn("text", F.when(rows, F.col("text")).otherwise(F.col("__kept"))).drop("__kept")
+
+    manual, ocr = ~F.col("__marked"), F.col("__ocr")
+    steps = [strip_marker, only(fix_artifacts, manual), only(join_hyphenated, manual), drop_page_numbers, only(drop_toc, manual), only(drop_front_matter, manual), only(drop_rights_notices, manual), only(clean_characters, manual), only(drop_ocr_noise, manual & ocr)]
+    steps += [only(normalize_whitespace, ~manual), *[only(drop_corrupted_lines, manual | ocr)] * corrupted, only(normalize_whitespace, manual), only(normalize_headings, manual), strip_text]
     # Not a filter: pushed through all steps, it would repeat every one of them.
-    return out.withColumn("text", F.when(F.length("text") >= least, F.col("text"))).drop("__ocr", "__marked")
+    return _chain(df, steps).withColumn("text", F.when(F.length("text") >= least, F.col("text"))).drop("__ocr", "__marked")

@@ -12,13 +12,18 @@ LEVELS = range(1, 7)
 
 
 def headings(docs: DataFrame, key: str = "doc_id") -> DataFrame:
-    """(key, line_no, level, title) of every heading; lines count from 0. No shuffle."""
-    lines = docs.select(key, F.posexplode(L.lines_of(F.col("text"))).alias("line_no", "line"))
-    return lines.withColumn("level", L.heading_level(F.col("line"))).where("level IS NOT NULL").select(key, "line_no", "level", L.heading_title(F.col("line")).alias("title"))
+    """(key, line_no, level, title, start_char) of every heading; lines and characters count from 0. No shuffle."""
+    lines = F.col("__lines")
+    rows = docs.select(key, L.lines_of(F.col("text")).alias("__lines"))
+    levels = F.transform(lines, lambda x, i: F.struct(i.alias("line_no"), L.heading_level(x).alias("level"), x.alias("line")))
+    rows = rows.withColumn("__h", F.filter(levels, lambda h: h["level"].isNotNull()))
+    before = lambda h: F.length(L.joined(F.slice(lines, 1, h["line_no"]))) + F.when(h["line_no"] > 0, 1).otherwise(0)
+    found = F.transform("__h", lambda h: F.struct(h["line_no"].alias("line_no"), h["level"].alias("level"), L.heading_title(h["line"]).alias("title"), before(h).alias("start_char")))
+    return rows.select(key, F.explode(found).alias("h")).select(key, "h.*")
 
 
 def sections(docs: DataFrame, key: str = "doc_id") -> DataFrame:
-    """(key, start_line, end_line, level, title, path) of every section: a heading opens one, the next heading ends it.
+    """(key, start_line, end_line, start_char, level, title, path) of every section: a heading opens one, the next ends it.
 
     path holds the open titles from the top down to the section's own. Only headings are shuffled, once, by key.
     """
@@ -36,7 +41,7 @@ def sections(docs: DataFrame, key: str = "doc_id") -> DataFrame:
         open_titles.append(F.when((F.lit(k) <= F.col("level")) & still_open, F.col(f"l{k}.title")))
     path = F.filter(F.array(*open_titles), lambda x: x.isNotNull())
     end = F.coalesce(F.lead("line_no").over(ahead), F.col("n_lines")) - 1
-    return found.select(key, F.col("line_no").alias("start_line"), end.alias("end_line"), "level", "title", path.alias("path"))
+    return found.select(key, F.col("line_no").alias("start_line"), end.alias("end_line"), "start_char", "level", "title", path.alias("path"))
 
 
 def outline(docs: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -46,6 +51,41 @@ def outline(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     return rows.select(key, F.array_join("r.x", "\n").alias("outline"))
 
 
+def hierarchy(path: Column) -> Column:
+    """The titles from the top down to a section's own, as one string."""
+    return F.array_join(path, " > ")
+
+
+def with_sections(chunks: DataFrame, found: DataFrame, key: str = "doc_id", at: str = "start_char") -> DataFrame:
+    """chunks with section_title, section_level, section_hierarchy and section_hierarchy_string: those of the section that
+    position `at` lies in, null before the first. `found` has columns key, start_char, level, title and path.
+
+    An as-of join: both go into one window by key, in the order of their positions, and each chunk takes the last section
+    up to its own. One shuffle, and no pair of a chunk with a section that isn't its own.
+    """
+    section = F.struct(F.col("title").alias("section_title"), F.col("level").alias("section_level"), F.col("path").alias("section_hierarchy"))
+    marks = found.select(key, F.col("start_char").cast("long").alias("__at"), F.lit(0).alias("__kind"), section.alias("__section"))
+    rows = chunks.select(key, F.coalesce(F.col(at), F.lit(0)).cast("long").alias("__at"), F.lit(1).alias("__kind"), F.struct(*chunks.columns).alias("__row"))
+    both = marks.unionByName(rows, allowMissingColumns=True)
+    upto = Window.partitionBy(key).orderBy("__at", "__kind").rowsBetween(Window.unboundedPreceding, 0)
+    met = both.withColumn("__section", F.last("__section", True).over(upto)).where("__kind = 1")
+    return met.select("__row.*", "__section.*").withColumn("section_hierarchy_string", hierarchy(F.col("section_hierarchy")))
+
+
+def with_running_position(chunks: DataFrame, key: str = "doc_id", order: str = "chunk_index", col: str = "content") -> DataFrame:
+    """chunks with start_char, the characters of the chunks before: what a position is where only chunks are at hand."""
+    before = Window.partitionBy(key).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    return chunks.withColumn("start_char", F.coalesce(F.sum(F.length(col)).over(before), F.lit(0)))
+
+
+def heading_choice(docs: DataFrame, key: str = "doc_id") -> DataFrame:
+    """(key, level): the level of heading to cut a document at. See splitting.heading_level; 3 without a valid title."""
+    good = headings(docs, key).where(L.is_valid_title(F.col("title")))
+    counts = good.groupBy(key, "level").agg(F.count("*").alias("n"), F.min("line_no").alias("first"))
+    best = counts.groupBy(key).agg(F.max_by("level", F.struct("n", -F.abs(F.col("level") - 3), -F.col("first"))).alias("level"))
+    return docs.select(key).join(best, key, "left").select(key, F.coalesce("level", F.lit(3)).alias("level"))
+
+
 def _share(lines: Column, rule: Callable[[Column], Column]) -> Column:
     return F.size(F.filter(lines, rule))
 
@@ -79,3 +119,8 @@ def structure_score(df: DataFrame, col: str = "text") -> DataFrame:
     df = df.withColumn("n_sections", sections).withColumn("n_headings", marked)
     score = 0.7 * F.least(F.col("n_sections") / expected, F.lit(1.0)) + 0.3 * F.least(F.col("n_headings") / expected, F.lit(1.0))
     return df.withColumn("structure_score", F.when(F.col(col).isNotNull(), score))
+
+
+def needs_boundaries(scored: DataFrame, enabled: bool = False, threshold: float = 0.5) -> Column:
+    """Whether a provider should say where sections begin: see chunking.boundary_chunks. scored has structure_score."""
+    return F.lit(enabled) & (F.coalesce(F.col("structure_score"), F.lit(0.0)) < threshold)

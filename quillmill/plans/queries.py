@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from quillmill.functions import lines as L, patterns as P
-from quillmill.operators import chunking, cleaning, curation, enrichment, retrieval, structure
+from quillmill.operators import chunking, cleaning, curation, embedding, enrichment, extraction, retrieval, review, structure
+from quillmill.plans.cleaning_sql import PROFILES, STEPS, chain_sql
+from quillmill.plans.noisy import NOISY_SQL, noisy
+from quillmill.sources import files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -40,78 +43,88 @@ def _re2(pattern: str) -> str:
     return "|".join(out)
 
 
-def _line_filter(keep: str) -> str:
-    """Lines of every text that satisfy a condition on x, put together again."""
-    return f"SELECT doc_id, array_to_string(list_filter(string_split(text, chr(10)), lambda x: {keep}), chr(10)) AS text FROM documents"
+def _cleaned(operator: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame], DataFrame]:
+    return lambda docs: operator(docs).select("doc_id", "text")
 
 
-_STRIPPED = r"regexp_replace(x, '^\s+|\s+$', '', 'g')"
+# --- cleaning, over documents with lines that the rules are for ---------------------------------------------------------
 
+_CLEANING = {
+    "artifacts": cleaning.fix_artifacts, "hyphenation": cleaning.join_hyphenated, "page_numbers": cleaning.drop_page_numbers, "captions": cleaning.drop_captions, "update_notes": cleaning.drop_update_notes,
+    "toc": cleaning.drop_toc, "front_matter": cleaning.drop_front_matter, "rights_notices": cleaning.drop_rights_notices, "page_headers": cleaning.drop_page_headers, "emails": cleaning.drop_emails, "urls": cleaning.drop_urls,
+    "characters": cleaning.clean_characters, "whitespace": cleaning.normalize_whitespace, "corrupted_lines": cleaning.drop_corrupted_lines, "ocr_noise": cleaning.drop_ocr_noise, "short_lines": cleaning.drop_short_isolated,
+    "repeated_lines": cleaning.drop_repeated_lines, "broken_headings": cleaning.fix_broken_headings, "headings": cleaning.normalize_headings, "structure": cleaning.improve_structure,
+}
+_PROFILES = {"default": cleaning.clean_default, "technical_manual": cleaning.clean_technical_manual, "markdown": cleaning.clean_markdown, "light": cleaning.clean_light}
 
-def _cleaned(operator: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame], DataFrame]:
-    return lambda docs: operator(docs).select("doc_id", "text")
 
+def _with_noisy(sql: str) -> str:
+    return sql.replace("{NOISY_SQL}", NOISY_SQL)
 
-# --- cleaning -------------------------------------------------------------------------------------------------------
 
-for _name, _operator, _subject, _pattern in (
-    ("clean_page_numbers", cleaning.drop_page_numbers, "x", P.PAGE_NUMBER),
-    ("clean_captions", cleaning.drop_captions, _STRIPPED, P.CAPTION),
-    ("clean_update_notes", cleaning.drop_update_notes, _STRIPPED, P.UPDATE),
-    ("clean_rights_notices", cleaning.drop_rights_notices, "x", P.COPYRIGHT),
-    ("clean_page_headers", cleaning.drop_page_headers, _STRIPPED, P.PAGE_HEADER),
-):
-    _register(_name, _cleaned(_operator), _line_filter(f"NOT regexp_matches({_subject}, {_literal(_pattern.replace('(?iu)', '(?i)'))})"))
-_register(
-    "clean_corrupted_lines",
-    _cleaned(cleaning.drop_corrupted_lines),
-    r"""
-    WITH l AS (SELECT doc_id, i, string_split(text, chr(10))[i] AS x FROM (SELECT doc_id, text, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i FROM documents)),
-    m AS (SELECT *, regexp_replace(x, '^\s+|\s+$', '', 'g') AS s FROM l),
-    n AS (SELECT *, len(regexp_extract_all(s, '(?i)[a-zà-ü]\s+[a-zà-ü]')) AS gaps, length(s) - length(regexp_replace(s, '\p{L}', '', 'g')) AS a,
-        length(lower(s)) - length(regexp_replace(lower(s), '[aeiouyàâäéèêëïîôùûüÿæœ]', '', 'g')) AS v FROM m)
-    SELECT d.doc_id, coalesce(string_agg(n.x, chr(10) ORDER BY n.i), '') AS text FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id
-        AND NOT (length(s) >= 20 AND s[1] NOT IN ('#', '|') AND (gaps >= 3 OR (CASE WHEN a > 0 THEN v / a ELSE 0 END < 0.25 AND length(s) > 25)))
-    GROUP BY d.doc_id
-    """,
-)
-_register("clean_urls", _cleaned(cleaning.drop_urls), "SELECT doc_id, " + "regexp_replace(" * 3 + "text" + "".join(f", {_literal(p)}, '', 'g')" for p in P.URLS) + " AS text FROM documents")
-_register("clean_emails", _cleaned(cleaning.drop_emails), f"SELECT doc_id, regexp_replace(text, {_literal(P.EMAIL)}, '', 'g') AS text FROM documents")
-for _name, _operator in {
-    "clean_artifacts": cleaning.fix_artifacts, "clean_hyphenation": cleaning.join_hyphenated, "clean_toc": cleaning.drop_toc, "clean_front_matter": cleaning.drop_front_matter, "clean_characters": cleaning.clean_characters,
-    "clean_whitespace": cleaning.normalize_whitespace, "clean_ocr_noise": cleaning.drop_ocr_noise, "clean_short_lines": cleaning.drop_short_isolated, "clean_repeated_lines": cleaning.drop_repeated_lines, "clean_broken_headings": cleaning.fix_broken_headings,
-    "clean_headings": cleaning.normalize_headings, "clean_structure": cleaning.improve_structure, "profile_default": cleaning.clean_default, "profile_technical_manual": cleaning.clean_technical_manual, "profile_markdown": cleaning.clean_markdown,
-    "profile_light": cleaning.clean_light,
-}.items():
-    _register(_name, _cleaned(_operator))
+def _register_noisy(name: str, run: Callable[[DataFrame], DataFrame], sql: str | None = None) -> None:
+    """A query over the noisy documents; sql goes on after their CTE."""
+    QUERIES[name] = lambda spark, sf_dir: run(noisy(_docs(spark, sf_dir)))
+    if sql:
+        ORACLES[name] = sql
+
+
+for _name, _operator in _CLEANING.items():
+    _register_noisy(f"clean_{_name}", _cleaned(_operator), chain_sql(_name, "noisy", NOISY_SQL))
+for _name, _operator in _PROFILES.items():
+    _register_noisy(f"profile_{_name}", _cleaned(_operator), chain_sql(PROFILES[_name], "noisy", NOISY_SQL))
+# Every third document bears a mark, and every fifth counts as scanned.
+_MARKED = f"CASE WHEN doc_id % 3 = 0 THEN {_literal(cleaning.cleaning_marker('default'))} ELSE '' END"
+_CHOICES = {(True, False): PROFILES["light"], (True, True): "page_numbers whitespace corrupted_lines strip", (False, False): PROFILES["technical_manual"], (False, True): PROFILES["technical_manual"].replace("characters", "characters ocr_noise")}
+
+
+def _chosen_sql() -> str:
+    """The profile that each document gets, as four chains over parts of them."""
+    parts, ends = [NOISY_SQL], []
+    for k, ((marked, ocr), names) in enumerate(_CHOICES.items()):
+        parts.append(f"c{k} AS (SELECT doc_id, text FROM noisy WHERE (doc_id % 3 = 0) = {marked} AND (doc_id % 5 = 0) = {ocr})")
+        src = f"c{k}"
+        for j, name in enumerate(names.split()):
+            parts.append(STEPS[name](src, f"c{k}_{j}"))
+            src = f"c{k}_{j}"
+        ends.append(f"SELECT doc_id, CASE WHEN length(text) >= 50 THEN text END AS text FROM {src}")
+    return "WITH " + ",\n".join(parts) + " " + " UNION ALL ".join(ends)
+
+
+def _chosen(docs: DataFrame) -> DataFrame:
+    named = docs.withColumns({"text": F.concat(F.expr(_MARKED.replace("\n", "\\n")), F.col("text")), "source": F.when(F.col("doc_id") % 5 == 0, "a_scan.md").otherwise("a.md")})
+    return cleaning.clean_for_chunking(named).select("doc_id", "text")
+
+
+_register_noisy("profile_chosen", _chosen, _chosen_sql())
 
 # --- structure ------------------------------------------------------------------------------------------------------
 
-_LINES_SQL = "l AS (SELECT doc_id, i - 1 AS line_no, string_split(text, chr(10))[i] AS line, len(string_split(text, chr(10))) AS n FROM (SELECT doc_id, text, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i FROM documents))"
+_LINES_SQL = NOISY_SQL + ", l AS (SELECT doc_id, i - 1 AS line_no, string_split(text, chr(10))[i] AS line, len(string_split(text, chr(10))) AS n FROM (SELECT doc_id, text, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i FROM noisy))"
 _HEADINGS_SQL = rf"""
     {_LINES_SQL},
-    s AS (SELECT *, regexp_replace(line, '^\s+|\s+$', '', 'g') AS s FROM l),
-    h AS (SELECT doc_id, line_no, n, s, CASE WHEN regexp_matches(s, '^#{{1,6}}\s+.+$') THEN length(regexp_extract(s, '^(#{{1,6}})', 1))
+    s AS (SELECT *, regexp_replace(line, '^\s+|\s+$', '', 'g') AS s, coalesce(sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY line_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start_char FROM l),
+    h AS (SELECT doc_id, line_no, n, s, start_char, CASE WHEN regexp_matches(s, '^#{{1,6}}\s+.+$') THEN length(regexp_extract(s, '^(#{{1,6}})', 1))
         WHEN upper(s) = s AND lower(s) <> s AND length(s) BETWEEN 6 AND 99 AND (length(s) - length(regexp_replace(s, '\p{{L}}', '', 'g'))) / length(s) > 0.6 THEN 3 END AS level FROM s),
-    headings AS (SELECT doc_id, line_no, n, CAST(level AS INTEGER) AS level, CASE WHEN regexp_matches(s, '^#{{1,6}}\s+.+$') THEN regexp_replace(s, '^#{{1,6}}\s+', '') ELSE s END AS title FROM h WHERE level IS NOT NULL)
+    headings AS (SELECT doc_id, line_no, n, CAST(start_char AS INTEGER) AS start_char, CAST(level AS INTEGER) AS level, CASE WHEN regexp_matches(s, '^#{{1,6}}\s+.+$') THEN regexp_replace(s, '^#{{1,6}}\s+', '') ELSE s END AS title FROM h WHERE level IS NOT NULL)
 """
 _UPTO = "OVER (PARTITION BY doc_id ORDER BY line_no ROWS UNBOUNDED PRECEDING)"
-_register("headings", structure.headings, f"WITH {_HEADINGS_SQL} SELECT doc_id, CAST(line_no AS INTEGER) AS line_no, level, title FROM headings")
-_register(
+_register_noisy("headings", structure.headings, f"WITH {_HEADINGS_SQL} SELECT doc_id, CAST(line_no AS INTEGER) AS line_no, level, title, start_char FROM headings")
+_register_noisy(
     "sections",
     structure.sections,
     f"WITH {_HEADINGS_SQL}, w AS (SELECT *, "
     + ", ".join(f"max(CASE WHEN level = {k} THEN line_no END) {_UPTO} AS n{k}, last_value(CASE WHEN level = {k} THEN title END IGNORE NULLS) {_UPTO} AS t{k}" for k in structure.LEVELS)
-    + ", lead(line_no) OVER (PARTITION BY doc_id ORDER BY line_no) AS nxt FROM headings) SELECT doc_id, CAST(line_no AS INTEGER) AS start_line, CAST(coalesce(nxt, n) - 1 AS INTEGER) AS end_line, level, title, list_filter(["
+    + ", lead(line_no) OVER (PARTITION BY doc_id ORDER BY line_no) AS nxt FROM headings) SELECT doc_id, CAST(line_no AS INTEGER) AS start_line, CAST(coalesce(nxt, n) - 1 AS INTEGER) AS end_line, start_char, level, title, list_filter(["
     + ", ".join(f"CASE WHEN {k} <= level" + "".join(f" AND n{k} > coalesce(n{j}, -1)" for j in range(1, k)) + f" THEN t{k} END" for k in structure.LEVELS)
     + "], lambda x: x IS NOT NULL) AS path FROM w",
 )
-_register("outline", structure.outline, f"WITH {_HEADINGS_SQL} SELECT doc_id, string_agg(repeat('  ', level - 1) || title, chr(10) ORDER BY line_no) AS outline FROM headings GROUP BY doc_id")
-_register(
+_register_noisy("outline", structure.outline, f"WITH {_HEADINGS_SQL} SELECT doc_id, string_agg(repeat('  ', level - 1) || title, chr(10) ORDER BY line_no) AS outline FROM headings GROUP BY doc_id")
+_register_noisy(
     "content_types",
     lambda d: structure.content_scores(d).select("doc_id", F.round("table_score", 6).alias("table_score"), F.round("list_score", 6).alias("list_score"), "code_score", "content_type"),
-    r"""
-    WITH a AS (SELECT doc_id, text, string_split(text, chr(10)) AS ls FROM documents),
+    _with_noisy(r"""
+    WITH {NOISY_SQL}, a AS (SELECT doc_id, text, string_split(text, chr(10)) AS ls FROM noisy),
     b AS (SELECT *, list_filter(ls, lambda x: regexp_matches(x, '\S')) AS f FROM a),
     c AS (SELECT *, greatest(len(list_filter(ls, lambda x: length(x) - length(replace(x, '|', '')) >= 2)), len(list_filter(ls, lambda x: length(x) - length(replace(x, chr(9), '')) >= 2))) AS t,
         greatest(len(list_filter(f, lambda x: regexp_matches(x, '^\s*[-*+]\s+'))), len(list_filter(f, lambda x: regexp_matches(x, '^\s*[0-9]+\.\s+')))) AS i,
@@ -120,15 +133,15 @@ _register(
         CASE WHEN contains(text, '```') THEN 0.9 WHEN len(regexp_extract_all(text, '`[^`]+`')) > 3 THEN 0.6 WHEN tab / len(ls) > 0.5 THEN 0.7 ELSE 0.0 END AS cs FROM c)
     SELECT doc_id, round(ts, 6) AS table_score, round(ls, 6) AS list_score, CAST(cs AS DOUBLE) AS code_score,
         CASE WHEN greatest(ts, ls, cs) < 0.2 THEN 'narrative' WHEN ts >= 0.3 THEN 'table' WHEN ls >= 0.3 THEN 'list' WHEN cs >= 0.3 THEN 'code' ELSE 'mixed' END AS content_type FROM e
-    """,
+    """),
 )
-_register(
+_register_noisy(
     "structure_scores",
     lambda d: structure.structure_score(d).select("doc_id", "n_headings", F.round("structure_score", 6).alias("structure_score")),
     rf"""
     WITH {_HEADINGS_SQL},
     c AS (SELECT doc_id, count(*) AS k FROM headings GROUP BY doc_id),
-    e AS (SELECT d.doc_id, coalesce(c.k, 0) AS k, len(regexp_extract_all(text, '(?m)^#{{1,6}}[ \t]+\S')) AS m, greatest(3, length(text) // 2500) AS x, text FROM documents d LEFT JOIN c ON d.doc_id = c.doc_id)
+    e AS (SELECT d.doc_id, coalesce(c.k, 0) AS k, len(regexp_extract_all(text, '(?m)^#{{1,6}}[ \t]+\S')) AS m, greatest(3, length(text) // 2500) AS x, text FROM noisy d LEFT JOIN c ON d.doc_id = c.doc_id)
     SELECT doc_id, CAST(m AS INTEGER) AS n_headings, CASE WHEN text IS NOT NULL THEN round(0.7 * least(CAST(k AS DOUBLE) / x, 1.0) + 0.3 * least(CAST(m AS DOUBLE) / x, 1.0), 6) END AS structure_score FROM e
     """,
 )

@@ -6,7 +6,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 def read_markdown(spark: SparkSession, folder: str) -> DataFrame:
-    """(doc_id, source, file_name, text) of the .md files in a folder, not below it. doc_id is a hash of the path."""
+    """(doc_id, source, file_name, text) of the .md files in a folder, not below it. doc_id is a hash of the path.
+
+    A folder that is missing or holds none gives an empty table.
+    """
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    if not at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at):
+        return spark.createDataFrame([], "doc_id long, source string, file_name string, text string")
     path = F.col("_metadata.file_path")
     files = spark.read.option("pathGlobFilter", "*.md").text(folder, wholetext=True)
     return files.select(F.xxhash64(path).alias("doc_id"), path.alias("source"), F.col("_metadata.file_name").alias("file_name"), F.col("value").alias("text"))
@@ -31,3 +37,9 @@ def read_questions(spark: SparkSession, path: str) -> DataFrame:
     if "question" not in rows.columns:
         raise ValueError("a question set needs the field question")
     return rows.withColumn("question", F.when(F.length("question") > 0, F.col("question")).otherwise(F.raise_error(F.lit("a question is missing"))))
+
+
+def numbered_questions(questions: DataFrame) -> DataFrame:
+    """questions with qid: their id where they have one, else a hash of the question."""
+    given = F.col("id").cast("string") if "id" in questions.columns else F.lit(None).cast("string")
+    return questions.withColumn("qid", F.coalesce(given, F.sha2("question", 256)))
