@@ -146,6 +146,11 @@ def valid_vectors(vectors: DataFrame, dimension: int) -> tuple[DataFrame, DataFr
     return vectors.where(good), vectors.where(~good)
 
 
+def latest(rows: DataFrame, keys: tuple[str, ...], *order: Column) -> DataFrame:
+    """Of rows that agree in keys the first one in an order."""
+    return rows.withColumn("__r", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where("__r = 1").drop("__r")
+
+
 class VectorTable:
     """Vectors in Parquet, one partition per namespace; rows are (namespace, vec_id, seq, embedding, …)."""
 
@@ -184,8 +189,7 @@ class VectorTable:
         if self.exists() and not reset:
             touched = rows.select("namespace").distinct()
             rows = rows.unionByName(self.read().join(touched, "namespace", "left_semi").withColumn("__new", F.lit(0)), allowMissingColumns=True)
-        newest = Window.partitionBy("namespace", "vec_id").orderBy(F.desc("seq"), F.desc("__new"), F.desc("embedding"))
-        kept = rows.withColumn("__r", F.row_number().over(newest)).where("__r = 1").drop("__r", "__new")
+        kept = latest(rows, ("namespace", "vec_id"), F.desc("seq"), F.desc("__new"), F.desc("embedding")).drop("__new")
         staged = f"{self.path}.staged"
         kept.write.mode("overwrite").parquet(staged)
         self.spark.read.parquet(staged).repartition("namespace", F.pmod(F.xxhash64("vec_id"), F.lit(16))).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("namespace").parquet(self.path)
@@ -265,9 +269,9 @@ def top_k(questions: DataFrame, vectors: DataFrame, k: int = 5, metric: str = "c
     found = None
     for b in range(blocks):
         table = keyed.where(F.col("__b") == b).select("qid", F.col("question_embedding").cast("array<double>").alias("e")).dropna().toArrow()
-        sent = spark.sparkContext.broadcast((table["qid"].to_pylist(), table["e"].to_pylist()))
+        sent, kind = spark.sparkContext.broadcast((table["qid"].to_pylist(), table["e"].to_pylist())), table["qid"].type
 
-        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch], sent=sent, kind=kind) -> Iterator[pa.RecordBatch]:
             qids, lists = sent.value
             by_length: dict[int, list[int]] = {}
             for i, e in enumerate(lists):
@@ -294,7 +298,7 @@ def top_k(questions: DataFrame, vectors: DataFrame, k: int = 5, metric: str = "c
                         rows_of = rows[part[best.ravel()]]
                         picked = batch.take(pa.array(rows_of))
                         names = [qids[at[i]] for i in q]
-                        yield pa.RecordBatch.from_arrays([*picked.columns[:-1], pa.array(names), pa.array(scores[q, best.ravel()])], names=[*picked.schema.names[:-1], "qid", "score"])
+                        yield pa.RecordBatch.from_arrays([*picked.columns[:-1], pa.array(names, kind), pa.array(scores[q, best.ravel()])], names=[*picked.schema.names[:-1], "qid", "score"])
 
         one = vectors.select(*others, F.col("embedding").cast("array<double>").alias("__e")).mapInArrow(run, f"{kinds}, qid {qid_type}, score double")
         found = one if found is None else found.unionByName(one)

@@ -8,13 +8,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from quillmill.functions import lines as L, patterns as P
 from quillmill.operators import chunking, cleaning, curation, embedding, enrichment, extraction, retrieval, review, structure
-from quillmill.plans.cleaning_sql import PROFILES, STEPS, chain_sql
+from quillmill.plans.cleaning_sql import PROFILES, STEPS, chain_sql, letters, strip
 from quillmill.plans.noisy import NOISY_SQL, noisy
 from quillmill.sources import files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
+_ODD_LABELS = ("Depannage", "mise en service", "norme-reglementation", "SECURITE", "nothing known", "general")
 _WORD_EDGE = r"[^\p{L}\p{N}_]"
 
 
@@ -149,7 +150,48 @@ _register_noisy(
 # --- chunks ---------------------------------------------------------------------------------------------------------
 
 _register("standard_chunks", chunking.standard_chunks)
-_register("table_blocks", chunking.table_blocks)
+_register_noisy("adaptive_chunks", chunking.adaptive_chunks)
+_register_noisy("section_chunks", chunking.section_chunks)
+_register_noisy("hybrid_chunks", lambda d: chunking.hybrid_chunks(d.withColumn("file_name", F.when(F.col("doc_id") % 2 == 0, "procedure.md"))))
+_register_noisy("rechunked", lambda d: chunking.rechunk(chunking.section_chunks(d), 100, 20))
+_register_noisy("positioned_chunks", lambda d: structure.with_sections(chunking.adaptive_chunks(d), structure.sections(d)).drop("content"))
+_register_noisy(
+    "table_blocks",
+    chunking.table_blocks,
+    rf"""
+    WITH {_LINES_SQL}, k AS (SELECT *, CASE WHEN length(line) - length(replace(line, '|', '')) >= 2 THEN 1 WHEN regexp_matches(line, '\S') THEN 0 END AS kind FROM l),
+    t AS (SELECT *, coalesce(last_value(kind IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY line_no ROWS UNBOUNDED PRECEDING), 0) AS is_t FROM k),
+    c AS (SELECT *, CASE WHEN is_t <> lag(is_t) OVER (PARTITION BY doc_id ORDER BY line_no) THEN 1 ELSE 0 END AS begins FROM t),
+    r AS (SELECT *, sum(begins) OVER (PARTITION BY doc_id ORDER BY line_no ROWS UNBOUNDED PRECEDING) AS run FROM c),
+    b AS (SELECT doc_id, run, is_t, {strip("string_agg(line, chr(10) ORDER BY line_no)")} AS content FROM r GROUP BY doc_id, run, is_t)
+    SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY run) - 1 AS INTEGER) AS block, is_t = 1 AS is_table, content FROM b WHERE length(content) > 0
+    """,
+)
+_VALID_TITLE = rf"(length(c) >= 4 AND NOT regexp_matches(c, '^[0-9]+$') AND NOT regexp_matches(c, '^[WθΔΦλ]+$') AND {letters('c')} / length(c) >= 0.4)"
+_register_noisy(
+    "heading_levels",
+    structure.heading_choice,
+    f"""WITH {_HEADINGS_SQL}, v AS (SELECT *, {strip("replace(title, '*', '')")} AS c FROM headings), g AS (SELECT doc_id, level, count(*) AS n, min(line_no) AS first FROM v WHERE {_VALID_TITLE} GROUP BY doc_id, level),
+    r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, abs(level - 3), first) AS r FROM g)
+    SELECT d.doc_id, CAST(coalesce(r.level, 3) AS INTEGER) AS level FROM noisy d LEFT JOIN r ON d.doc_id = r.doc_id AND r.r = 1""",
+)
+_register_noisy("valid_titles", lambda d: structure.headings(d).select("doc_id", "line_no", L.is_valid_title(F.col("title")).alias("valid")), f"""WITH {_HEADINGS_SQL} SELECT doc_id, CAST(line_no AS INTEGER) AS line_no, {_VALID_TITLE} AS valid FROM (SELECT *, {strip("replace(title, '*', '')")} AS c FROM headings)""")
+
+
+def _places(docs: DataFrame) -> DataFrame:
+    """Every 150th position of the noisy documents with the section that it lies in."""
+    at = docs.where(F.length("text") > 0).select("doc_id", F.explode(F.expr("sequence(0, length(text) - 1, 150)")).alias("start_char"))
+    return structure.with_sections(at, structure.sections(docs)).select("doc_id", "start_char", "section_title", "section_level", "section_hierarchy_string")
+
+
+_SECTIONS_SQL = ORACLES["sections"]
+_register_noisy(
+    "section_of_position",
+    _places,
+    f"""WITH x AS ({_SECTIONS_SQL}), {NOISY_SQL}, p AS (SELECT doc_id, unnest(range(0, length(text), 150)) AS pos FROM noisy WHERE length(text) > 0),
+    j AS (SELECT p.doc_id, p.pos, x.title, x.level, x.path FROM p ASOF LEFT JOIN x ON p.doc_id = x.doc_id AND p.pos >= x.start_char)
+    SELECT doc_id, CAST(pos AS INTEGER) AS start_char, title AS section_title, level AS section_level, array_to_string(path, ' > ') AS section_hierarchy_string FROM j""",
+)
 _register(
     "sentence_windows",
     chunking.sentence_windows,
@@ -193,8 +235,57 @@ _register(
     + " OR ".join(f"contains(lower(text), {_literal(x)})" for x in P.PRIORITY_WORDS)
     + r" THEN 0.1 ELSE 0 END + CASE WHEN length(text) BETWEEN 200 AND 1000 THEN 0.1 ELSE 0 END + CASE WHEN regexp_matches(text, '\p{Nd}') THEN 0.05 ELSE 0 END), 6) AS priority_score FROM documents",
 )
-_register("merge_small_chunks", lambda d: curation.merge_small(chunking.standard_chunks(d)))
-_register("chunk_totals", lambda d: curation.totals(curation.quality_score(chunking.standard_chunks(d))))
+
+
+def _turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns of conversations as chunks, whose role serves as section."""
+    return spark.read.parquet(f"{sf_dir}/conversations.parquet").select(F.col("conv_id").alias("doc_id"), F.col("turn").alias("chunk_index"), F.col("role").alias("section_hierarchy_string"), F.col("text").alias("content"))
+
+
+_TURNS_SQL = "t AS (SELECT conv_id AS doc_id, turn AS chunk_index, role AS section, text AS content FROM conversations)"
+_IN_DOC = "OVER (PARTITION BY doc_id ORDER BY chunk_index)"
+for _strategy, _allowed in (("sequential", "true"), ("semantic", "true"), ("hybrid", "true")):
+    QUERIES[f"merge_{_strategy}"] = lambda spark, sf_dir, how=_strategy: curation.merge_chunks(_turns(spark, sf_dir), strategy=how).select("doc_id", "chunk_index", "merged_from", "original_chunk_sizes", F.col("section_hierarchy_string").alias("section"), "chunk_size", "content")
+    ORACLES[f"merge_{_strategy}"] = f"""
+    WITH {_TURNS_SQL}, a AS (SELECT *, lead(content) {_IN_DOC} AS nc, lead(chunk_index) {_IN_DOC} AS ni, lead(section) {_IN_DOC} AS ns FROM t),
+    c AS (SELECT *, coalesce(length(content) < 400 AND length(content) + length(nc) + 2 <= 2000 AND {_allowed}, false) AS can FROM a),
+    r AS (SELECT *, coalesce(sum(CASE WHEN can THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY chunk_index ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS run FROM c),
+    o AS (SELECT *, can AND row_number() OVER (PARTITION BY doc_id, run ORDER BY chunk_index) % 2 = 1 AS opens FROM r),
+    g AS (SELECT *, coalesce(lag(opens) {_IN_DOC}, false) AS gone FROM o)
+    SELECT doc_id, chunk_index, CASE WHEN opens THEN [chunk_index, ni] END AS merged_from, CASE WHEN opens THEN [CAST(length(content) AS INTEGER), CAST(length(nc) AS INTEGER)] END AS original_chunk_sizes,
+        CASE WHEN opens THEN ns ELSE section END AS section, CAST(CASE WHEN opens THEN length(content) + length(nc) + 2 ELSE length(content) END AS INTEGER) AS chunk_size, CASE WHEN opens THEN content || chr(10) || chr(10) || nc ELSE content END AS content FROM g WHERE NOT gone
+    """
+QUERIES["merge_replayed"] = lambda spark, sf_dir: curation.merge_by_replay(_turns(spark, sf_dir))
+QUERIES["best_neighbours"] = lambda spark, sf_dir: curation.best_neighbour(_turns(spark, sf_dir)).select("doc_id", "chunk_index", "neighbour", "neighbour_score")
+_FITS = "length(content) + length({0}(content) " + _IN_DOC + ") + 2 <= 2000"
+ORACLES["best_neighbours"] = f"""
+    WITH {_TURNS_SQL}, a AS (SELECT doc_id, chunk_index, CASE WHEN {_FITS.format('lead')} THEN CASE WHEN section = lead(section) {_IN_DOC} THEN 1.0 ELSE 0.5 END ELSE 0 END AS nxt,
+        CASE WHEN {_FITS.format('lag')} AND section = lag(section) {_IN_DOC} THEN 1.0 ELSE 0 END AS prv FROM t)
+    SELECT doc_id, chunk_index, CASE WHEN greatest(nxt, prv) > 0 THEN CASE WHEN nxt >= prv THEN 1 ELSE -1 END END AS neighbour, CAST(CASE WHEN greatest(nxt, prv) > 0 THEN greatest(nxt, prv) END AS DOUBLE) AS neighbour_score FROM a
+"""
+QUERIES["running_positions"] = lambda spark, sf_dir: structure.with_running_position(_turns(spark, sf_dir)).select("doc_id", "chunk_index", "start_char")
+ORACLES["running_positions"] = f"WITH {_TURNS_SQL} SELECT doc_id, chunk_index, CAST(coalesce(sum(length(content)) OVER (PARTITION BY doc_id ORDER BY chunk_index ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start_char FROM t"
+_register("token_counts", lambda d: curation.annotate_tokens(d, 200, "text").select("doc_id", "token_count", "oversized"), r"SELECT doc_id, CAST(coalesce(len(regexp_extract_all(text, '[\p{L}\p{N}]+|[^\p{L}\p{N}\s]')), 0) AS INTEGER) AS token_count, CASE WHEN len(regexp_extract_all(text, '[\p{L}\p{N}]+|[^\p{L}\p{N}\s]')) > 200 THEN true END AS oversized FROM documents")
+_register("quality_kept", lambda d: curation.split_by_quality(curation.quality_score(d, "text"))[0].select("doc_id", "lang"), f"SELECT doc_id, lang FROM documents JOIN ({ORACLES['quality_scores']}) USING (doc_id) WHERE quality_score >= 0.5")
+_register("quality_rejected", lambda d: curation.split_by_quality(curation.quality_score(d, "text"))[1].select("doc_id", "lang"), f"SELECT doc_id, lang FROM documents JOIN ({ORACLES['quality_scores']}) USING (doc_id) WHERE quality_score < 0.5")
+_register("by_priority", lambda d: curation.sort_by_priority(curation.priority_score(d, "text"), "doc_id").select("doc_id", F.round("priority_score", 6).alias("priority_score")), f"{ORACLES['priority_scores']} ORDER BY priority_score DESC, doc_id")
+QUERIES["sectioned_priorities"] = lambda spark, sf_dir: curation.priority_score(_turns(spark, sf_dir).withColumns({"section_title": F.when(F.col("chunk_index") % 2 == 0, F.col("section_hierarchy_string")), "section_level": F.expr("cast(chunk_index % 4 as int)"), "quality_score": F.expr("(chunk_index % 3) / 2.0D")})).select("doc_id", "chunk_index", F.round("priority_score", 6).alias("priority_score"))
+ORACLES["sectioned_priorities"] = (
+    f"WITH {_TURNS_SQL} SELECT doc_id, chunk_index, round(least(1.0, CAST(0.5 AS DOUBLE) + CASE WHEN chunk_index % 2 = 0 THEN 0.2 ELSE 0 END + CASE WHEN chunk_index % 4 <= 2 THEN 0.15 ELSE 0 END + CASE WHEN "
+    + " OR ".join(f"contains(lower(content), {_literal(x)})" for x in P.PRIORITY_WORDS)
+    + r" THEN 0.1 ELSE 0 END + CASE WHEN length(content) BETWEEN 200 AND 1000 THEN 0.1 ELSE 0 END + (chunk_index % 3) / 2 * 0.1 + CASE WHEN regexp_matches(content, '\p{Nd}') THEN 0.05 ELSE 0 END), 6) AS priority_score FROM t"
+)
+QUERIES["chunk_totals"] = lambda spark, sf_dir: curation.totals(_turns(spark, sf_dir).withColumn("quality_score", F.expr("CASE WHEN chunk_index % 3 > 0 THEN (chunk_index % 3) / 4.0D END"))).withColumn("average_quality", F.round("average_quality", 6))
+ORACLES["chunk_totals"] = f"WITH {_TURNS_SQL} SELECT count(*) AS n_chunks, CAST(sum(length(content)) AS BIGINT) AS total_chars, round(avg(CASE WHEN chunk_index % 3 > 0 THEN (chunk_index % 3) / 4 ELSE 0.5 END), 6) AS average_quality FROM t"
+
+
+def _curated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = noisy(_docs(spark, sf_dir))
+    cut = chunking.hybrid_chunks(docs, carry=("source",))
+    return curation.curate(structure.with_sections(cut, structure.sections(docs)))
+
+
+QUERIES["curated_chunks"] = _curated
 _register(
     "keywords",
     lambda d: d.select("doc_id", enrichment.keywords(F.col("text")).alias("keywords")),
@@ -234,45 +325,215 @@ _register(
 )
 _register(
     "embedding_cache_keys",
-    lambda d: d.select("doc_id", retrieval.cache_key("default", F.col("text")).alias("hash")),
+    lambda d: d.select("doc_id", embedding.cache_key("default", F.col("text")).alias("hash")),
     "SELECT doc_id, sha256('default:' || text) AS hash FROM documents",
 )
+_E = "regexp_replace(text, '[\\x{c0}-\\x{24f}]', 'x', 'g')"
+
+
+def _found_sql(subject: str, *patterns: str) -> str:
+    every = " || ".join(f"regexp_extract_all({subject}, {_literal(p.replace('(?iu)', '(?i)'))})" for p in patterns)
+    return f"list_filter({every}, lambda x, i: list_position({every}, x) = i)[1:5]"
+
+
+ORACLES["entities"] = f"SELECT doc_id, {_found_sql('text', *P.DATES)} AS dates, {_found_sql(_E, P.AMOUNT)} AS numbers, {_found_sql('text', P.EMAIL)} AS emails, {_found_sql(_E, P.CAPITALS)} AS organizations FROM documents"
+_register("known_labels", lambda d: d.select("doc_id", enrichment.normalize_label(F.concat(F.lit(" "), F.element_at(F.array(*map(F.lit, _ODD_LABELS)), (F.col("doc_id") % len(_ODD_LABELS)).cast("int") + 1))).alias("label")), f"SELECT doc_id, CASE WHEN x IN ({', '.join(map(_literal, [*P.LABELS, 'general']))}) THEN x ELSE 'general' END AS label FROM (SELECT doc_id, replace(replace(lower([{', '.join(map(_literal, _ODD_LABELS))}][doc_id % {len(_ODD_LABELS)} + 1]), ' ', '_'), '-', '_') AS x FROM documents)")
+_register(
+    "enricher_scores",
+    lambda d: d.select("doc_id", F.round(enrichment.enricher_quality(F.col("text"), F.col("doc_id") % 2 == 0), 6).alias("chunk_quality_score")),
+    rf"SELECT doc_id, round(least(1.0, greatest(0.0, CAST(1.0 AS DOUBLE) - CASE WHEN length(text) < 100 THEN 0.3 WHEN length(text) > 3000 THEN 0.2 ELSE 0 END - CASE WHEN length(text) > 0 AND {letters('text')} / length(text) < 0.5 THEN 0.3 ELSE 0 END - CASE WHEN NOT regexp_matches(rtrim(text), '[.!?]$') THEN 0.1 ELSE 0 END + CASE WHEN doc_id % 2 = 0 THEN 0.1 ELSE 0 END)), 6) AS chunk_quality_score FROM documents",
+)
+_ANSWERS = ("concat('{\"summary\": \"s', doc_id, '\", \"topics\": [\"a\", \"b\"]}')", "concat('```json', chr(10), '{\"summary\": \"s', doc_id, '\", \"topics\": [\"a\", ],}', chr(10), '```')", "concat('Here it is: {\"summary\": \"s', doc_id, '\",} Done.')", "concat('{\"summary\": \"s', doc_id)", "'[1, 2]'")
+_ANSWER = "CASE doc_id % 5 " + " ".join(f"WHEN {k} THEN {x}" for k, x in enumerate(_ANSWERS)) + " END"
+_register("repaired_answers", lambda d: d.select("doc_id", enrichment.parse_json(F.expr(_ANSWER)).alias("m")).select("doc_id", "m.summary", "m.topics"), "SELECT doc_id, CASE WHEN doc_id % 5 < 3 THEN concat('s', doc_id) END AS summary, CASE doc_id % 5 WHEN 0 THEN ['a', 'b'] WHEN 1 THEN ['a'] END AS topics FROM documents")
+_TAGS = "transform(sequence(0, {0}), x -> concat('t', (x * {1}) % 7))"
+_register("merged_tags", lambda d: d.select("doc_id", enrichment.merge_tags(F.expr("transform(sequence(0, cast(doc_id % 6 as int)), x -> concat('t', (x * 3) % 7))"), F.expr("CASE WHEN doc_id % 4 > 0 THEN transform(sequence(0, cast(doc_id % 9 as int)), x -> concat('u', (x * 5) % 6)) END"), 5).alias("tags")), """
+    WITH a AS (SELECT doc_id, list_transform(range(0, doc_id % 6 + 1), lambda x: concat('t', (x * 3) % 7)) || CASE WHEN doc_id % 4 > 0 THEN list_transform(range(0, doc_id % 9 + 1), lambda x: concat('u', (x * 5) % 6)) ELSE [] END AS l FROM documents)
+    SELECT doc_id, list_filter(l, lambda x, i: list_position(l, x) = i)[1:5] AS tags FROM a""")
+
+
+def _described(docs: DataFrame) -> DataFrame:
+    """Beginnings of documents as chunks about which something is known."""
+    every = lambda n, c: F.when(F.col("doc_id") % n > 0, c)
+    words = F.array(F.lit("alpha"), F.lit("beta"), F.col("lang"), F.lit("delta"), F.lit("epsilon"), F.lit("zeta"))
+    return docs.select(
+        "doc_id", F.substring("text", 1, 120).alias("content"), F.concat(F.col("source"), F.lit("_a.md")).alias("file_name"), every(2, F.array(F.lit("Part"), F.col("lang"))).alias("section_hierarchy"), every(2, F.concat(F.lit("Part > "), F.col("lang"))).alias("section_hierarchy_string"),
+        every(3, words).alias("keywords"), every(5, F.array(F.col("source"), F.lit("two"), F.lit("three"), F.lit("four"))).alias("topics"), F.when(F.col("doc_id") % 7 > 0, F.col("lang")).otherwise("unknown").alias("document_type"), every(11, F.concat(F.lit("about "), F.col("lang"))).alias("summary"),
+    )
+
+
+_DESCRIBED_SQL = """d AS (SELECT doc_id, substring(text, 1, 120) AS content, source || '_a.md' AS file_name, CASE WHEN doc_id % 2 > 0 THEN 'Part > ' || lang END AS path,
+    CASE WHEN doc_id % 3 > 0 THEN ['alpha', 'beta', lang, 'delta', 'epsilon', 'zeta'] END AS keywords, CASE WHEN doc_id % 5 > 0 THEN [source, 'two', 'three', 'four'] END AS topics,
+    CASE WHEN doc_id % 7 > 0 THEN lang END AS kind, CASE WHEN doc_id % 11 > 0 THEN 'about ' || lang END AS summary FROM documents)"""
+_HEADER_SQL = "'---' || chr(10) || concat_ws(chr(10), 'Document: ' || replace(replace(file_name, '.md', ''), '_', ' '), 'Section: ' || path, 'Type: ' || kind, 'Sujets: ' || array_to_string(topics[1:3], ', ')) || chr(10) || '---' || chr(10) || chr(10)"
+_FRONT_SQL = "concat_ws(' ', '[Section: ' || path || ']', '[Mots-clés: ' || array_to_string(keywords[1:5], ', ') || ']', '[Sujets: ' || array_to_string(topics[1:3], ', ') || ']', '[Type: ' || kind || ']', '[Résumé: ' || summary || ']')"
+_KNOWN_SQL = "concat_ws(chr(10), 'Résumé: ' || summary, 'Section: ' || path, 'Sujets: ' || array_to_string(topics, ', '))"
+_BLANK = "chr(10) || chr(10)"
+_EMBEDDED_SQL = f"CASE WHEN length({_FRONT_SQL}) > 0 THEN {_FRONT_SQL} || {_BLANK} || content ELSE content END"
+_register("context_headers", lambda d: (lambda c: c.select("doc_id", enrichment.context_header(c).alias("header")))(_described(d)), f"WITH {_DESCRIBED_SQL} SELECT doc_id, {_HEADER_SQL} AS header FROM d")
+_register("augmented", lambda d: enrichment.augment(_described(d), keep_original=True).select("doc_id", "content", "original_content"), f"WITH {_DESCRIBED_SQL} SELECT doc_id, {_HEADER_SQL} || content AS content, content AS original_content FROM d")
+_register("embedding_texts", lambda d: (lambda c: c.select("doc_id", enrichment.embedding_text(c).alias("text")))(_described(d)), f"WITH {_DESCRIBED_SQL} SELECT doc_id, {_EMBEDDED_SQL} AS text FROM d")
+_register("texts_to_embed", lambda d: (lambda c: c.select("doc_id", enrichment.text_to_embed(c).alias("text")))(_described(d).withColumn("embedding_text", F.expr("CASE doc_id % 3 WHEN 0 THEN 'stored' WHEN 1 THEN '' END"))), f"WITH {_DESCRIBED_SQL} SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'stored' ELSE {_EMBEDDED_SQL} END AS text FROM d")
+_register(
+    "text_variants",
+    lambda d: enrichment.text_variants(_described(d), "doc_id"),
+    f"""WITH {_DESCRIBED_SQL} SELECT doc_id, 'raw' AS variant, content AS text FROM d UNION ALL SELECT doc_id, 'with_context', {_HEADER_SQL} || content FROM d
+    UNION ALL SELECT doc_id, 'keywords_focused', CASE WHEN keywords IS NOT NULL THEN 'Mots-clés: ' || array_to_string(keywords, ', ') || {_BLANK} || content ELSE content END FROM d
+    UNION ALL SELECT doc_id, 'semantic_enriched', CASE WHEN length({_KNOWN_SQL}) > 0 THEN {_KNOWN_SQL} || {_BLANK} || content ELSE content END FROM d""",
+)
+_register(
+    "stored_metadata",
+    lambda d: retrieval.record_metadata(_described(d).withColumns({"content": F.col("content"), "rag_label_confidence": F.lit(0.62), "chunk_size": F.when(F.col("doc_id") % 2 == 0, 5)}), "v1", "doc_id"),
+    f"""WITH {_DESCRIBED_SQL} SELECT doc_id, '' AS source, file_name, 0 AS chunk_index, 0 AS total_chunks, CAST(CASE WHEN doc_id % 2 = 0 THEN 5 ELSE length(content) END AS INTEGER) AS chunk_size, content AS text, content AS display_text, 0 AS embedding_dimension,
+    path AS section_hierarchy, CAST(NULL AS VARCHAR) AS section_title, summary, kind AS document_type, topics, keywords, CAST(NULL AS VARCHAR[]) AS domain_tags, CAST(NULL AS VARCHAR) AS rag_label, CAST(0.62 AS DOUBLE) AS rag_label_confidence,
+    CAST(NULL AS DOUBLE) AS quality_score, CAST(NULL AS DOUBLE) AS chunk_quality_score, 'v1' AS embedding_version FROM d""",
+)
 _register("enriched_chunks", lambda d: enrichment.enrich(curation.priority_score(curation.quality_score(chunking.standard_chunks(d)))))
 
+# --- embedding ------------------------------------------------------------------------------------------------------
+
+_register("hash_embeddings", lambda d: embedding.embed_texts(d.select("doc_id", "text"), embedding.hash_embed).select("doc_id", F.size("embedding").alias("dimension")), "SELECT doc_id, 64 AS dimension FROM documents")
+_register("cache_plan", lambda d: d.select(embedding.cache_key("m", F.col("text")).alias("hash")).dropna().groupBy("hash").agg(F.count("*").alias("n")), "SELECT sha256('m:' || text) AS hash, count(*) AS n FROM documents WHERE text IS NOT NULL GROUP BY 1")
+
+
+def _batched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding.smart_batches(curation.annotate_tokens(_turns(spark, sf_dir)), 150, "doc_id")
+
+
+_COUNT = r"CAST(len(regexp_extract_all(content, '[\p{L}\p{N}]+|[^\p{L}\p{N}\s]')) AS BIGINT)"
+_BATCHED_SQL = f"""
+    RECURSIVE {_TURNS_SQL}, n AS (SELECT doc_id, chunk_index, {_COUNT} AS k, row_number() {_IN_DOC} AS r FROM t),
+    b AS (SELECT doc_id, chunk_index, r, k, CAST(0 AS BIGINT) AS batch, CASE WHEN k > 150 THEN NULL ELSE k END AS held FROM n WHERE r = 1
+        UNION ALL SELECT n.doc_id, n.chunk_index, n.r, n.k, CASE WHEN b.held + n.k <= 150 THEN b.batch ELSE b.batch + 1 END, CASE WHEN n.k > 150 THEN NULL WHEN b.held + n.k <= 150 THEN b.held + n.k ELSE n.k END FROM b JOIN n ON n.doc_id = b.doc_id AND n.r = b.r + 1)
+"""
+QUERIES["smart_batches"] = lambda spark, sf_dir: _batched(spark, sf_dir).select("doc_id", "chunk_index", "batch")
+ORACLES["smart_batches"] = f"WITH {_BATCHED_SQL} SELECT doc_id, chunk_index, batch FROM b"
+QUERIES["batch_statistics"] = lambda spark, sf_dir: embedding.batch_statistics(_batched(spark, sf_dir), "doc_id").withColumns({c: F.round(c, 6) for c in ("avg_batch_size", "avg_tokens_per_batch")})
+ORACLES["batch_statistics"] = f"WITH {_BATCHED_SQL}, p AS (SELECT doc_id, batch, count(*) AS n, CAST(sum(k) AS BIGINT) AS s FROM b GROUP BY doc_id, batch) SELECT count(*) AS num_batches, round(avg(n), 6) AS avg_batch_size, min(n) AS min_batch_size, max(n) AS max_batch_size, round(avg(s), 6) AS avg_tokens_per_batch, min(s) AS min_tokens_per_batch, max(s) AS max_tokens_per_batch FROM p"
+
 # --- namespaces, retrieval, evaluation ------------------------------------------------------------------------------
 
+_STEM = "coalesce(nullif(regexp_extract(x, '([^/]+?)(?:\\.[^./]*)?$', 1), ''), 'unknown')"
+_SLUG = "trim(regexp_replace(regexp_replace(regexp_replace(strip_accents({0}), '[^\\x00-\\x7f]', '', 'g'), '[^A-Za-z0-9_.-]', '_', 'g'), '_+', '_', 'g'), '_')"
 _register(
     "namespace_distribution",
     lambda d: retrieval.namespace_stats(d.select(retrieval.namespace(F.col("source"), "by_file").alias("namespace"))),
     "SELECT source AS namespace, count(*) AS n, round(count(*) * 100.0 / sum(count(*)) OVER (), 4) AS percent FROM documents GROUP BY source",
 )
+_register("namespace_totals", lambda d: retrieval.namespace_totals(d.select(F.col("source").alias("namespace"))), "SELECT source AS namespace, count(*) AS n FROM documents GROUP BY ROLLUP (source)")
+_register("accented_namespaces", lambda d: d.select("doc_id", retrieval.namespace(F.concat(F.lit("a b/É "), F.substring("text", 1, 25), F.lit(".md")), "by_file", "ns").alias("by_file"), retrieval.namespace(F.concat(F.lit("x/É "), F.regexp_replace(F.substring("text", 1, 25), "/", ""), F.lit("/f.md")), "by_folder").alias("by_folder")), f"""
+    SELECT doc_id, 'ns_' || {_SLUG.format(_STEM.replace('x,', "'a b/É ' || substring(text, 1, 25) || '.md',"))} AS by_file, {_SLUG.format("'É ' || replace(substring(text, 1, 25), '/', '')")} AS by_folder FROM documents""")
+_register("vector_ids", lambda d: d.select("doc_id", retrieval.vector_id(F.concat("source", F.lit(" é.md")), F.col("doc_id"), F.lit(2)).alias("vec_id")), f"SELECT doc_id, {_SLUG.format(chr(34) + 'source' + chr(34) + ' || ' + chr(39) + ' é.md' + chr(39))} || '_chunk_' || doc_id || '-2' AS vec_id FROM documents")
+_ASKED_LABELS = ("Dépannage", " dépannage ", "GÉNÉRAL", "general", "Dimensionnement", "nothing")
+_register("label_namespaces", lambda d: d.select("doc_id", retrieval.label_namespace(F.element_at(F.array(*map(F.lit, _ASKED_LABELS)), (F.col("doc_id") % 6).cast("int") + 1), retrieval.namespace_config()).alias("namespace")), "SELECT doc_id, ['depannage', 'depannage', 'general', 'general', 'dimensionnement', 'depannage'][doc_id % 6 + 1] AS namespace FROM documents")
+_register("offline_namespaces", lambda d: d.select("doc_id", enrichment.label(F.col("text")).alias("x")).select("doc_id", retrieval.classify_offline(F.col("x.label")).alias("namespace")), f"SELECT doc_id, CASE WHEN label IN ('depannage', 'dimensionnement') THEN label ELSE 'general' END AS namespace FROM ({ORACLES['rag_labels']})")
+
+
+def _vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/embeddings.parquet")
 
 
 def _questions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A question per label: the mean of its vectors, of which that label is expected."""
-    parts = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("label", F.posexplode("embedding").alias("i", "x"))
+    """A question per label, the mean of its vectors: of some the label is expected, of others a tag, a source or a word."""
+    parts = _vectors(spark, sf_dir).select("label", F.posexplode("embedding").alias("i", "x"))
     mean = parts.groupBy("label", "i").agg(F.avg(F.col("x").cast("double")).alias("x"))
     lists = mean.groupBy("label").agg(F.array_sort(F.collect_list(F.struct("i", "x"))).alias("v"))
-    return lists.select(F.col("label").alias("qid"), F.array("label").alias("expected_labels"), F.col("v.x").alias("question_embedding"))
+    name, kind = F.col("label").cast("string"), F.col("label") % 5
+    of = lambda k, c: F.when(kind == k, c)
+    return lists.select(F.col("label").alias("qid"), F.col("v.x").alias("question_embedding"), of(0, F.array(F.concat(F.lit("L"), name), F.lit(" "))).alias("expected_labels"), of(1, F.array(F.concat(F.lit("T"), name))).alias("expected_tags"), of(2, F.concat(F.lit("SOURCE-"), name)).alias("expected_sources"), of(3, F.array(F.lit("no such word"))).alias("expected_keywords"))
+
+
+def _known(spark: SparkSession, sf_dir: str) -> DataFrame:
+    name = F.col("label").cast("string")
+    return _vectors(spark, sf_dir).withColumns({"rag_label": F.concat(F.lit("l"), name), "domain_tags": F.array(F.lit("any"), F.concat(F.lit("t"), name)), "source": F.concat(F.lit("Source-"), name), "text": F.concat(F.lit("text of "), F.col("vec_id").cast("string"))})
 
 
 def _found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return retrieval.top_k(_questions(spark, sf_dir).select("qid", "question_embedding"), spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    return retrieval.top_k(_questions(spark, sf_dir).select("qid", "question_embedding"), _known(spark, sf_dir))
 
 
-_FOUND_SQL = """
+_ASKED_SQL = """
     p AS (SELECT label, generate_subscripts(embedding, 1) AS i, CAST(unnest(embedding) AS DOUBLE) AS x FROM embeddings),
     m AS (SELECT label, i, avg(x) AS x FROM p GROUP BY label, i),
-    q AS (SELECT label AS qid, list(x ORDER BY i) AS qe FROM m GROUP BY label),
+    q AS (SELECT label AS qid, list(x ORDER BY i) AS qe FROM m GROUP BY label)
+"""
+_RANKED = "row_number() OVER (PARTITION BY qid{0} ORDER BY score DESC, vec_id)"
+_FOUND_SQL = f"""
+    {_ASKED_SQL},
     s AS (SELECT qid, vec_id, label, round(list_cosine_similarity(qe, CAST(embedding AS DOUBLE[])), 6) AS score FROM q, embeddings),
-    f AS (SELECT *, CAST(row_number() OVER (PARTITION BY qid ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s QUALIFY rank <= 5)
+    f AS (SELECT *, CAST({_RANKED.format('')} AS INTEGER) AS rank FROM s QUALIFY rank <= 5)
 """
 QUERIES["retrieval_top_k"] = lambda spark, sf_dir: _found(spark, sf_dir).select("qid", "rank", "vec_id", "label", "score")
 ORACLES["retrieval_top_k"] = f"WITH {_FOUND_SQL} SELECT qid, rank, vec_id, label, score FROM f"
+QUERIES["retrieval_filtered"] = lambda spark, sf_dir: retrieval.top_k(_questions(spark, sf_dir).select("qid", "question_embedding"), _vectors(spark, sf_dir), metric="dotproduct", where=F.col("label") % 2 == 1).select("qid", "rank", "vec_id", "label", "score")
+ORACLES["retrieval_filtered"] = f"WITH {_ASKED_SQL}, s AS (SELECT qid, vec_id, label, round(list_inner_product(qe, CAST(embedding AS DOUBLE[])), 6) AS score FROM q, embeddings WHERE label % 2 = 1) SELECT qid, CAST({_RANKED.format('')} AS INTEGER) AS rank, vec_id, label, score FROM s QUALIFY rank <= 5"
+QUERIES["retrieval_per_namespace"] = lambda spark, sf_dir: retrieval.top_k(_questions(spark, sf_dir).select("qid", "question_embedding"), _vectors(spark, sf_dir), 3, "euclidean", ["label"]).select("qid", "rank", "vec_id", "label", "score")
+ORACLES["retrieval_per_namespace"] = f"WITH {_ASKED_SQL}, s AS (SELECT qid, vec_id, label, -round(list_distance(qe, CAST(embedding AS DOUBLE[])), 6) AS score FROM q, embeddings) SELECT qid, CAST({_RANKED.format(', label')} AS INTEGER) AS rank, vec_id, label, score FROM s QUALIFY rank <= 3"
+QUERIES["valid_vectors"] = lambda spark, sf_dir: retrieval.valid_vectors(_vectors(spark, sf_dir).select("vec_id", F.when(F.col("vec_id") % 3 > 0, F.slice("embedding", 1, 64 - (F.col("vec_id") % 2).cast("int"))).alias("embedding")), 64)[0].select("vec_id")
+ORACLES["valid_vectors"] = "SELECT vec_id FROM embeddings WHERE vec_id % 3 > 0 AND vec_id % 2 = 0"
+
 QUERIES["evaluation_questions"] = lambda spark, sf_dir: retrieval.evaluate(_questions(spark, sf_dir), _found(spark, sf_dir))
-ORACLES["evaluation_questions"] = f"WITH {_FOUND_SQL} SELECT qid, count(*) AS n_found, bool_or(label = qid) AS label_match, bool_or(label = qid) AS hit, max(score) AS best_score, max(score) < 0.25 AS weak FROM f GROUP BY qid"
+_JUDGED_SQL = f"""{_FOUND_SQL}, e AS (SELECT qid, count(*) AS n_found, bool_or(qid % 5 = 2 AND contains('source-' || label, 'source-' || qid)) AS source_match, false AS keyword_match,
+    bool_or(qid % 5 = 0 AND label = qid) AS label_match, bool_or(qid % 5 = 1 AND label = qid) AS tag_match, max(score) AS best_score, max(score) < 0.25 AS weak FROM f GROUP BY qid),
+    j AS (SELECT *, CASE WHEN qid % 5 < 4 THEN source_match OR label_match OR tag_match END AS hit FROM e)"""
+ORACLES["evaluation_questions"] = f"WITH {_JUDGED_SQL} SELECT qid, n_found, source_match, keyword_match, label_match, tag_match, hit, best_score, weak FROM j"
 QUERIES["evaluation_summary"] = lambda spark, sf_dir: retrieval.summary(retrieval.evaluate(_questions(spark, sf_dir), _found(spark, sf_dir)))
+_RATES = ", ".join(f"count(*) FILTER ({c} AND hit IS NOT NULL) AS {c}, round(count(*) FILTER ({c} AND hit IS NOT NULL) / count(hit), 3) AS {c}_rate" for c in ("source_match", "label_match", "tag_match"))
 ORACLES["evaluation_summary"] = f"""
-    WITH {_FOUND_SQL}, e AS (SELECT qid, bool_or(label = qid) AS hit, max(score) AS best FROM f GROUP BY qid)
-    SELECT count(*) AS n_all, count(hit) AS n_scored, count(*) FILTER (hit) AS hits, round(count(*) FILTER (hit) / count(hit), 3) AS hit_rate, round(count(*) FILTER (best < 0.25) / count(hit), 3) AS weak_rate, round(avg(best), 4) AS average_best_score FROM e
+    WITH {_JUDGED_SQL} SELECT count(*) AS n_all, count(hit) AS n_scored, count(*) FILTER (hit) AS hits, round(count(*) FILTER (hit) / count(hit), 3) AS hits_rate, {_RATES},
+    count(*) FILTER (weak) AS weak_results, round(count(*) FILTER (weak) / count(hit), 3) AS weak_results_rate, round(avg(best_score), 4) AS average_best_score FROM j
 """
+QUERIES["report_matches"] = lambda spark, sf_dir: retrieval.report_matches(_found(spark, sf_dir)).select("qid", "rank", "score", "source", "section", "rag_label", "domain_tags", "preview")
+ORACLES["report_matches"] = f"WITH {_FOUND_SQL} SELECT qid, rank, score, 'Source-' || label AS source, '' AS section, 'l' || label AS rag_label, ['any', 't' || label] AS domain_tags, 'text of ' || vec_id AS preview FROM f"
+QUERIES["latest_records"] = lambda spark, sf_dir: retrieval.latest(spark.read.parquet(f"{sf_dir}/events.parquet"), ("user_id", "event_type"), F.desc("ts"), F.desc("event_id")).select("event_id", "user_id", "event_type")
+ORACLES["latest_records"] = "SELECT event_id, user_id, event_type FROM events QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1"
+
+# --- review and extraction ------------------------------------------------------------------------------------------
+
+
+def _sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns whose conversation serves as section: the first ones of conversations fill the sample."""
+    turns = _turns(spark, sf_dir).withColumn("section_hierarchy_string", F.concat(F.lit("c"), F.col("doc_id").cast("string"))).withColumn("has_table", F.col("chunk_index") == 6)
+    return review.stratified_sample(turns, 20)
+
+
+QUERIES["review_sample"] = lambda spark, sf_dir: review.review_items(_sample(spark, sf_dir)).select("id", "content_preview", "section", "has_table")
+ORACLES["review_sample"] = f"""
+    WITH {_TURNS_SQL}, a AS (SELECT *, row_number() OVER (ORDER BY doc_id, chunk_index) - 1 AS position, count(*) OVER () AS n FROM t),
+    b AS (SELECT *, CASE WHEN position IN (0, n // 4, n // 2, 3 * n // 4, n - 1) THEN 0 WHEN chunk_index = 6 OR row_number() OVER (PARTITION BY doc_id, chunk_index = 6 ORDER BY position) = 1 THEN 1 ELSE 2 END AS k FROM a)
+    SELECT position AS id, substring(content, 1, 500) AS content_preview, 'c' || doc_id AS section, chunk_index = 6 AS has_table FROM b ORDER BY k, position LIMIT 20
+"""
+
+
+def _spans(docs: DataFrame) -> DataFrame:
+    """The words of the noisy documents as spans: a block of two lines each, whose sizes go by the number of the line."""
+    lines = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("n", "line"))
+    size = F.expr("CASE n % 11 WHEN 3 THEN 20.04D WHEN 5 THEN 16.0D WHEN 7 THEN 13.2D WHEN 9 THEN 11.5D WHEN 10 THEN 8.0D ELSE 10.0D END")
+    words = lines.select("doc_id", "n", size.alias("size"), F.posexplode(F.split("line", " ")).alias("span", "text"))
+    return words.select("doc_id", F.expr("cast(n div 20 as int)").alias("page"), F.expr("cast(n div 2 as int)").alias("block"), F.col("n").alias("line"), "span", "size", "text")
+
+
+_SPANS_SQL = f"""{NOISY_SQL}, l AS (SELECT doc_id, i - 1 AS n, string_split(text, chr(10))[i] AS line FROM (SELECT doc_id, text, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i FROM noisy)),
+    w AS (SELECT doc_id, n, round(CASE n % 11 WHEN 3 THEN 20.04 WHEN 5 THEN 16.0 WHEN 7 THEN 13.2 WHEN 9 THEN 11.5 WHEN 10 THEN 8.0 ELSE 10.0 END, 1)::DOUBLE AS size, unnest(string_split(line, ' ')) AS text FROM l)"""
+_SIZES_SQL = f"{_SPANS_SQL}, z AS (SELECT doc_id, size, CAST(sum(length(text)) AS BIGINT) AS n_chars FROM w GROUP BY doc_id, size)"
+_BODY_SQL = f"""{_SIZES_SQL}, y AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY n_chars DESC, size DESC) AS r, row_number() OVER (PARTITION BY doc_id, size >= 10 ORDER BY n_chars DESC, size DESC) AS r10 FROM z),
+    body AS (SELECT a.doc_id, CASE WHEN a.size < 8 THEN coalesce(b.size, a.size) ELSE a.size END AS body FROM y a LEFT JOIN y b ON a.doc_id = b.doc_id AND b.size >= 10 AND b.r10 = 1 WHERE a.r = 1),
+    x AS (SELECT z.doc_id, z.size, CASE WHEN z.size / body >= 2.0 THEN '#' WHEN z.size / body >= 1.6 THEN '##' WHEN z.size / body >= 1.3 THEN '###' WHEN z.size / body >= 1.15 THEN '####' ELSE '' END AS prefix FROM z JOIN body USING (doc_id))"""
+_register_noisy("font_sizes", lambda d: extraction.font_sizes(_spans(d), "doc_id"), f"WITH {_SIZES_SQL} SELECT doc_id, size, n_chars FROM z")
+_register_noisy("font_headings", lambda d: extraction.heading_prefixes(extraction.font_sizes(_spans(d), "doc_id"), "doc_id"), f"WITH {_BODY_SQL} SELECT doc_id, size, prefix FROM x")
+_register_noisy(
+    "structured_markdown",
+    lambda d: extraction.structured_markdown(_spans(d), "doc_id"),
+    f"""WITH {_BODY_SQL}, v AS (SELECT l.doc_id, l.n, x.prefix, array_to_string(list_filter(list_transform(string_split(l.line, ' '), lambda t: {strip("t")}), lambda t: t <> ''), ' ') AS s
+        FROM l JOIN (SELECT DISTINCT doc_id, n, size FROM w) u ON u.doc_id = l.doc_id AND u.n = l.n JOIN x ON x.doc_id = l.doc_id AND x.size = u.size),
+    f AS (SELECT *, prefix <> '' OR coalesce(lag(prefix <> '') OVER (PARTITION BY doc_id, n // 2 ORDER BY n), true) AS begins FROM v WHERE s <> ''),
+    g AS (SELECT *, sum(CASE WHEN begins THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY n ROWS UNBOUNDED PRECEDING) AS par FROM f),
+    h AS (SELECT doc_id, par, min(prefix) AS prefix, string_agg(s, ' ' ORDER BY n) AS s FROM g GROUP BY doc_id, par)
+    SELECT doc_id, string_agg(CASE WHEN prefix <> '' THEN prefix || ' ' || s ELSE s END, chr(10) || chr(10) ORDER BY par) || chr(10) AS text FROM h GROUP BY doc_id""",
+)
+_register(
+    "page_types",
+    lambda d: files.page_type(d.select(F.col("source").alias("path"), F.lit(1).alias("page_no"), F.expr("doc_id % 170").alias("n_chars"), F.expr("(doc_id * 7) % 10 < 5").alias("big_image"))),
+    """SELECT source AS path, count(*) AS num_pages, round(avg(doc_id % 170), 1) AS avg_chars_per_page, round(avg(CASE WHEN (doc_id * 7) % 10 < 5 THEN 1 ELSE 0 END), 2) AS image_page_ratio,
+    CASE WHEN avg(doc_id % 170) < 80 OR avg(CASE WHEN (doc_id * 7) % 10 < 5 THEN 1 ELSE 0 END) >= 0.5 THEN 'scan' ELSE 'text' END AS page_type FROM documents GROUP BY source""",
+)
