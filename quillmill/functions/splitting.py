@@ -195,6 +195,19 @@ def heading_level(text: str) -> int:
     return max(counts, key=lambda k: (counts[k], -abs(k - 3)), default=3)
 
 
+def sections(text: str) -> tuple[list[int], list[tuple[str, int, list[str]]]]:
+    """Where the sections of a text begin, and the (title, level, path) of each; a heading opens one, the next ends it."""
+    starts, found, above, at = [], [], [], 0
+    for line in text.split("\n"):
+        if opened := heading(line):
+            level, title = opened
+            above = [x for x in above if x[0] < level] + [opened]
+            starts.append(at)
+            found.append((title, level, [t for _, t in above]))
+        at += len(line) + 1
+    return starts, found
+
+
 def joined_small(sections: list[tuple[str, str]], sizes: Sizes) -> Iterator[tuple[str, str]]:
     """A short section is joined with the next one if both fit; a joined one isn't joined again."""
     waiting = deque(sections)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -18,31 +19,45 @@ __all__ = ["Sizes", "split_text"]
 Cutter = Callable[..., Iterable[tuple[str | None, str]]]
 
 
-def _cut(docs: DataFrame, cutter: Cutter, overlap: int, key: str, carry: tuple[str, ...] = (), extra: Column | None = None) -> DataFrame:
+_CHUNK = {"chunk_title": "string", "start_char": "int", "content": "string"}
+_SECTION = {"section_title": "string", "section_level": "int", "section_hierarchy": "array<string>"}
+
+
+def _cut(docs: DataFrame, cutter: Cutter, overlap: int, key: str, carry: tuple[str, ...] = (), extra: Column | None = None, with_sections: bool = False) -> DataFrame:
     """(key, *carry, chunk_index, total_chunks, chunk_size, chunk_title, start_char, content) of what cutter yields.
 
     start_char is where the chunk was found in its text: see splitting.positions. `extra` is handed to cutter as well.
-    Null texts and texts without a character give no chunk. Columns named in carry go along.
+    With with_sections, section_title, section_level, section_hierarchy and section_hierarchy_string of the section that a
+    chunk begins in go along. Null texts and texts without a character give no chunk. Columns named in carry stay.
     """
     kept = [key, *carry]
+    fields = _CHUNK | (_SECTION if with_sections else {})
     schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept)
-    chunk = pa.list_(pa.struct([("chunk_title", pa.string()), ("start_char", pa.int32()), ("content", pa.string())]))
+    arrow = pa.list_(pa.struct([(k, {"string": pa.string(), "int": pa.int32(), "array<string>": pa.list_(pa.string())}[v]) for k, v in fields.items()]))
+    told = extra is not None
 
     def one(text: str | None, more) -> list[dict]:
-        pieces = list(cutter(text, more) if extra is not None else cutter(text)) if text else []
+        pieces = list(cutter(text, more) if told else cutter(text)) if text else []
         places = S.positions(text or "", [c for _, c in pieces], overlap)
-        return [{"chunk_title": t, "start_char": at, "content": c} for (t, c), at in zip(pieces, places)]
+        out = [{"chunk_title": t, "start_char": at, "content": c} for (t, c), at in zip(pieces, places)]
+        if with_sections and pieces:
+            starts, found = S.sections(text)
+            for chunk in out:
+                k = bisect_right(starts, chunk["start_char"]) - 1
+                chunk.update(zip(_SECTION, found[k] if k >= 0 else (None, None, None)))
+        return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n = batch.num_columns
             chunks = [one(t, m) for t, m in zip(batch.column(n - 2).to_pylist(), batch.column(n - 1).to_pylist())]
-            yield pa.RecordBatch.from_arrays([*batch.columns[: n - 2], pa.array(chunks, chunk)], names=[*kept, "chunks"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[: n - 2], pa.array(chunks, arrow)], names=[*kept, "chunks"])
 
-    given = docs.select(*kept, F.col("text").alias("__text"), (F.lit(None).cast("boolean") if extra is None else extra).alias("__extra"))
-    split = given.mapInArrow(run, f"{schema}, chunks array<struct<chunk_title:string,start_char:int,content:string>>")
+    given = docs.select(*kept, F.col("text").alias("__text"), (extra if told else F.lit(None).cast("boolean")).alias("__extra"))
+    split = given.mapInArrow(run, f"{schema}, chunks array<struct<{','.join(f'{k}:{v}' for k, v in fields.items())}>>")
     rows = split.select(*kept, F.size("chunks").alias("total_chunks"), F.posexplode("chunks").alias("chunk_index", "c"))
-    return rows.select(*kept, "chunk_index", "total_chunks", F.length("c.content").alias("chunk_size"), "c.chunk_title", "c.start_char", "c.content")
+    got = rows.select(*kept, "chunk_index", "total_chunks", F.length("c.content").alias("chunk_size"), *(f"c.{k}" for k in fields))
+    return got.withColumn("section_hierarchy_string", F.array_join("section_hierarchy", " > ")) if with_sections else got
 
 
 def _untitled(f: Callable[..., Iterable[str]]) -> Cutter:
@@ -73,13 +88,13 @@ def is_procedural(file_name: Column) -> Column:
     return out
 
 
-def hybrid_chunks(docs: DataFrame, sizes: Sizes = Sizes(), by_sentences: bool = False, key: str = "doc_id", carry: tuple[str, ...] = ()) -> DataFrame:
+def hybrid_chunks(docs: DataFrame, sizes: Sizes = Sizes(), by_sentences: bool = False, key: str = "doc_id", carry: tuple[str, ...] = (), with_sections: bool = False) -> DataFrame:
     """Chunks by sections, and within them by type; by sentences in procedures, or everywhere if so asked."""
     procedural = F.lit(True) if by_sentences else is_procedural(F.col("file_name")) if "file_name" in docs.columns else F.lit(False)
-    return _cut(docs, lambda t, p: S.hybrid(t, sizes, bool(p)), sizes.overlap, key, carry, procedural)
+    return _cut(docs, lambda t, p: S.hybrid(t, sizes, bool(p)), sizes.overlap, key, carry, procedural, with_sections)
 
 
-def boundary_chunks(docs: DataFrame, provider: Callable[[list[str]], list[list[tuple[str, str]]]], most: int = 2000, sample: int = 12_000, key: str = "doc_id", carry: tuple[str, ...] = ()) -> DataFrame:
+def boundary_chunks(docs: DataFrame, provider: Callable[[list[str]], list[list[tuple[str, str]]]], most: int = 2000, sample: int = 12_000, key: str = "doc_id", carry: tuple[str, ...] = (), with_sections: bool = False) -> DataFrame:
     """Chunks where a provider says that sections begin.
 
     provider takes texts, cut to `sample` characters, and returns a list of (title, first characters) for each; what it
@@ -93,7 +108,7 @@ def boundary_chunks(docs: DataFrame, provider: Callable[[list[str]], list[list[t
             found = []
         return S.split_by_excerpts(text, found, most)
 
-    return _cut(docs, cutter, 0, key, carry)
+    return _cut(docs, cutter, 0, key, carry, with_sections=with_sections)
 
 
 def sentences(text: Column, longer_than: int = 15) -> Column:

@@ -183,7 +183,9 @@ class VectorTable:
         judged = rows.withColumn("__good", good)
         counts = judged.groupBy("namespace").agg(F.count_if("__good").alias("accepted"), F.count_if(~F.col("__good")).alias("rejected"))
         found = counts.collect()  # a row per namespace
-        if found and not any(r.accepted for r in found):
+        if not found:
+            return self.spark.createDataFrame([], counts.schema)
+        if not any(r.accepted for r in found):
             raise ValueError("no vector has the dimension of the table")
         rows = judged.where("__good").drop("__good").withColumn("__new", F.lit(1))
         if self.exists() and not reset:

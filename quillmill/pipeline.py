@@ -19,17 +19,19 @@ def advanced_chunks(docs: DataFrame, settings: Settings = Settings(), boundaries
     chunk. With settings.boundary_fallback, texts with hardly a heading are cut where `boundaries` says. `provider` adds
     what it knows of chunks of good quality.
     """
-    clean = cleaning.clean_for_chunking(docs, corrupted=settings.drop_corrupted_lines).where("text IS NOT NULL")
+    # Texts that give no chunk are null from here on, not filtered: a filter would be pushed through the whole chain.
+    clean = cleaning.clean_for_chunking(docs, corrupted=settings.drop_corrupted_lines)
     sizes = Sizes(settings.chunk_size, settings.chunk_overlap, settings.chunk_min_size, settings.chunk_max_size)
     carry = tuple(c for c in ("source", "file_name") if c in docs.columns)
     if boundaries is not None and settings.boundary_fallback:
-        scored = structure.structure_score(clean)
-        weak = structure.needs_boundaries(scored, True, settings.boundary_threshold)
-        cut = chunking.hybrid_chunks(scored.where(~weak), sizes, settings.use_sentence_windows, key, carry)
-        cut = cut.unionByName(chunking.boundary_chunks(scored.where(weak), boundaries, settings.chunk_max_size, key=key, carry=carry))
+        weak = structure.needs_boundaries(structure.structure_score(clean), True, settings.boundary_threshold)
+        scored = structure.structure_score(clean).withColumn("__weak", weak)
+        of = lambda c: scored.withColumn("text", F.when(c, F.col("text")))
+        cut = chunking.hybrid_chunks(of(~F.col("__weak")), sizes, settings.use_sentence_windows, key, carry, True)
+        cut = cut.unionByName(chunking.boundary_chunks(of(F.col("__weak")), boundaries, settings.chunk_max_size, key=key, carry=carry, with_sections=True))
     else:
-        cut = chunking.hybrid_chunks(clean, sizes, settings.use_sentence_windows, key, carry)
-    chunks = enrichment.enrich(structure.with_sections(cut, structure.sections(clean, key), key))
+        cut = chunking.hybrid_chunks(clean, sizes, settings.use_sentence_windows, key, carry, True)
+    chunks = enrichment.enrich(cut)
     if provider is not None:
         chunks = enrichment.enrich_by_provider(chunks, provider, batch=settings.provider_batch_size)
     return chunks.withColumn("display_content", F.concat(enrichment.context_header(chunks), F.col("content")))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from quillmill.functions import lines as L, patterns as P
 from quillmill.operators import chunking, cleaning, curation, embedding, enrichment, extraction, retrieval, review, structure
+from quillmill.pipeline import advanced_chunks
 from quillmill.plans.cleaning_sql import PROFILES, STEPS, chain_sql, letters, strip
 from quillmill.plans.noisy import NOISY_SQL, noisy
 from quillmill.sources import files
@@ -281,11 +282,11 @@ ORACLES["chunk_totals"] = f"WITH {_TURNS_SQL} SELECT count(*) AS n_chunks, CAST(
 
 def _curated(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = noisy(_docs(spark, sf_dir))
-    cut = chunking.hybrid_chunks(docs, carry=("source",))
-    return curation.curate(structure.with_sections(cut, structure.sections(docs)))
+    return curation.curate(chunking.hybrid_chunks(docs, carry=("source",), with_sections=True))
 
 
 QUERIES["curated_chunks"] = _curated
+QUERIES["advanced_chunks"] = lambda spark, sf_dir: advanced_chunks(noisy(_docs(spark, sf_dir)))
 _register(
     "keywords",
     lambda d: d.select("doc_id", enrichment.keywords(F.col("text")).alias("keywords")),
