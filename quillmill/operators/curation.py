@@ -66,27 +66,6 @@ def sort_by_priority(chunks: DataFrame, *keys: str) -> DataFrame:
     return chunks.orderBy(F.desc("priority_score"), *keys)
 
 
-def merge_small(chunks: DataFrame, small: int = 400, most: int = 2000, key: str = "doc_id", order: str = "chunk_index") -> DataFrame:
-    """(key, chunk_index, merged_from, content): a chunk shorter than `small` is joined with the next one of its document.
-
-    A joined chunk isn't joined again, so within a run of chunks that could be joined every second one is. One window.
-    """
-    w = Window.partitionBy(key).orderBy(order)
-    fits = (F.length("content") < small) & (F.length("content") + F.lead(F.length("content")).over(w) + 2 <= most)
-    rows = chunks.withColumn("__can", F.coalesce(fits, F.lit(False)))
-    rows = rows.withColumn("__run", F.coalesce(F.sum(F.when(~F.col("__can"), 1).otherwise(0)).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    rows = rows.withColumn("__at", F.row_number().over(Window.partitionBy(key, "__run").orderBy(order)))
-    opens = F.col("__can") & (F.col("__at") % 2 == 1)
-    rows = rows.withColumn("__opens", opens)
-    swallowed = F.coalesce(F.lag("__opens").over(w), F.lit(False))
-    nxt = F.lead(F.struct(F.col(order), F.col("content"))).over(w)
-    rows = rows.withColumn("__gone", swallowed).withColumn("__next", nxt).where("NOT __gone")
-    return rows.select(
-        key, order, F.when(F.col("__opens"), F.array(F.col(order), F.col(f"__next.{order}"))).otherwise(F.array(order)).alias("merged_from"),
-        F.when(F.col("__opens"), F.concat_ws("\n\n", "content", "__next.content")).otherwise(F.col("content")).alias("content"),
-    )
-
-
 #: Of a joined chunk these are the second one's, where it has them.
 SECOND = ("section_title", "section_level", "section_hierarchy", "section_hierarchy_string")
 
