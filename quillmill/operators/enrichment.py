@@ -7,30 +7,11 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from quillmill.functions import lines as L, patterns as P
-
-_WORDS = rf"({P.WORD}+)"
-PLAIN_WORD = "^[a-zA-ZÀ-ÿ]{4,}$"
-
+from quillmill.functions import patterns as P, vocabulary
 
 def keywords(text: Column, most: int = 5) -> Column:
-    """The commonest words of four letters or more, stop words excepted; of equally common ones the first comes first.
-
-    Words and places are sorted once and counted by runs, within the row.
-    """
-    words = F.filter(F.regexp_extract_all(F.lower(text), F.lit(_WORDS), F.lit(1)), lambda w: w.rlike(PLAIN_WORD) & ~w.isin(*sorted(P.STOP_WORDS)))
-    placed = F.array_sort(F.transform(words, lambda w, i: F.struct(w.alias("w"), i.alias("i"))))
-
-    def counted(s: Column) -> Column:
-        begins = F.filter(F.transform(s, lambda x, k: F.when((k == 0) | (x["w"] != F.get(s, k - 1)["w"]), k)), lambda k: k.isNotNull())
-
-        def runs(b: Column) -> Column:
-            return F.transform(b, lambda k, j: F.struct((k - F.coalesce(F.get(b, j + 1), F.size(s))).alias("n"), F.get(s, k)["i"].alias("i"), F.get(s, k)["w"].alias("w")))
-
-        return F.flatten(F.transform(F.array(begins), runs))
-
-    ranked = F.array_sort(F.flatten(F.transform(F.array(placed), counted)))
-    return F.transform(F.slice(ranked, 1, most), lambda x: x["w"])
+    """The commonest words of four letters or more, stop words excepted; of equally common ones the first comes first."""
+    return vocabulary.only_keywords(text, most)
 
 
 def entities(text: Column, most: int = 5) -> Column:
@@ -44,22 +25,13 @@ def entities(text: Column, most: int = 5) -> Column:
 
 
 def domain_tags(text: Column, most: int = 8) -> Column:
-    return L.let(F.lower(text), lambda low: F.slice(F.filter(F.array(*(F.when(low.rlike(p), F.lit(tag)) for tag, p in P.DOMAIN_TAGS.items())), lambda x: x.isNotNull()), 1, most))
+    return vocabulary.only_tags_and_label(text, most)["tags"]
 
 
 def label(text: Column) -> Column:
     """Struct (label, confidence): the label with most matches, the first of equals; "general" without a match."""
-
-    def best(low: Column) -> Column:
-        return F.array_max(F.array(*(F.struct(F.regexp_count(low, F.lit(p)).alias("n"), F.lit(-k).alias("k"), F.lit(name).alias("label")) for k, (name, p) in enumerate(P.LABELS.items()))))
-
-    def judged(scored: Column) -> Column:
-        none = F.coalesce(scored["n"], F.lit(0)) == 0
-        confidence = F.when(none, 0.45).when(scored["n"] >= 3, 0.78).otherwise(0.62)
-        return F.struct(F.when(none, "general").otherwise(scored["label"]).alias("label"), confidence.alias("confidence"))
-
-    # Bound twice: the text is put in lower case once, and every pattern is counted once.
-    return L.let(F.lower(text), lambda low: L.let(best(low), judged))
+    found = vocabulary.only_tags_and_label(text)
+    return F.struct(found["label"].alias("label"), found["confidence"].alias("confidence"))
 
 
 def normalize_label(name: Column) -> Column:
@@ -97,9 +69,10 @@ def text_stats(text: Column) -> dict[str, Column]:
 def enrich(chunks: DataFrame, col: str = "content") -> DataFrame:
     """chunks with keywords, entities_basic, rag_label, its confidence, domain_tags, features, statistics and score."""
     c = F.col(col)
-    chunks = chunks.withColumns({"keywords": keywords(c), "entities_basic": entities(c), "__label": label(c), "domain_tags": domain_tags(c), **features(c), **text_stats(c)})
-    chunks = chunks.withColumns({"rag_label": F.col("__label.label"), "rag_label_confidence": F.col("__label.confidence"), "chunk_quality_score": enricher_quality(c, F.size("keywords") > 0)})
-    return chunks.drop("__label")
+    chunks = chunks.withColumns({"__facts": vocabulary.text_facts(c), "entities_basic": entities(c), **features(c), **text_stats(c)})
+    chunks = chunks.withColumns({"keywords": F.col("__facts.keywords"), "rag_label": F.col("__facts.label"), "rag_label_confidence": F.col("__facts.confidence"), "domain_tags": F.col("__facts.tags")})
+    chunks = chunks.withColumns({"chunk_quality_score": enricher_quality(c, F.size("keywords") > 0)})
+    return chunks.drop("__facts")
 
 
 def _of(df: DataFrame, name: str, kind: str = "string") -> Column:

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from quillmill.functions import lines as L, patterns as P
+from quillmill.functions.vocabulary import PLAIN_WORD
 from quillmill.operators import chunking, cleaning, curation, embedding, enrichment, extraction, retrieval, review, structure
 from quillmill.pipeline import advanced_chunks
 from quillmill.plans.cleaning_sql import PROFILES, STEPS, chain_sql, letters, strip
@@ -20,8 +21,17 @@ _ODD_LABELS = ("Depannage", "mise en service", "norme-reglementation", "SECURITE
 _WORD_EDGE = r"[^\p{L}\p{N}_]"
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """df over all cores, if it is read in fewer tasks than there are: a small file is, and may be one group of rows.
+
+    Tables that are large enough to matter have more tasks than cores, and are left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
 def _register(name: str, run: Callable[[DataFrame], DataFrame], sql: str | None = None) -> None:
@@ -293,7 +303,7 @@ _register(
     rf"""
     WITH a AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}_]+') AS w FROM documents),
     b AS (SELECT doc_id, w[i] AS w, i FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM a)),
-    c AS (SELECT doc_id, w, count(*) AS n, min(i) AS i FROM b WHERE regexp_matches(w, '{enrichment.PLAIN_WORD}') AND w NOT IN ({', '.join(map(_literal, sorted(P.STOP_WORDS)))}) GROUP BY doc_id, w),
+    c AS (SELECT doc_id, w, count(*) AS n, min(i) AS i FROM b WHERE regexp_matches(w, '{PLAIN_WORD}') AND w NOT IN ({', '.join(map(_literal, sorted(P.STOP_WORDS)))}) GROUP BY doc_id, w),
     r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, i) AS r FROM c)
     SELECT d.doc_id, coalesce(list(r.w ORDER BY r.r) FILTER (r.w IS NOT NULL), []) AS keywords FROM documents d LEFT JOIN r ON r.doc_id = d.doc_id AND r.r <= 5 GROUP BY d.doc_id
     """,
