@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quillmill.functions import splitting
+from quillmill.functions.register import register
 from quillmill.operators import chunking, cleaning, curation, structure
 from quillmill.plans import cleaning_sql
 from quillmill.plans.noisy import NOISY_SQL, noisy
@@ -126,3 +127,11 @@ def test_boundaries_by_a_provider(spark):
 def test_quality_of_odd_texts(spark, value):
     got = curation.quality_score(texts(spark, value), "text").select(F.round("quality_score", 4)).first()[0]
     assert got == (0.15 if value else 0.0)
+
+
+def test_functions_for_sql(spark):
+    register(spark)
+    row = spark.sql("SELECT ascii_slug('Été chaud.md') AS s, count_tokens('two words.') AS n, size(embed_text('x')) AS d, ascii_slug(NULL) AS e").first()
+    assert tuple(row) == ("Ete_chaud.md", 3, 64, None)
+    cut = spark.sql("SELECT d.id, c.chunk_index, c.content FROM VALUES (1, 'one two three four'), (2, '') AS d(id, t), LATERAL split_text(d.t, 10, 0) AS c ORDER BY 1, 2")
+    assert [tuple(r) for r in cut.collect()] == [(1, 0, "one two"), (1, 1, "three"), (1, 2, "four")]
