@@ -12,7 +12,6 @@ from collections import Counter
 from functools import lru_cache
 from itertools import product
 
-import ahocorasick
 import pyarrow as pa
 from pyspark.sql import Column, functions as F
 
@@ -35,8 +34,10 @@ def terms(pattern: str) -> list[str]:
 
 
 @lru_cache(maxsize=1)
-def _automaton() -> tuple[ahocorasick.Automaton, list[re.Pattern]]:
+def _automaton() -> tuple:
     """Terms lead to the numbers of their patterns: the tags', then the labels'."""
+    import ahocorasick  # where it runs, on the executors
+
     patterns = [*P.DOMAIN_TAGS.values(), *P.LABELS.values()]
     of: dict[str, set[int]] = {}
     for k, pattern in enumerate(patterns):
