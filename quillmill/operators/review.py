@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from html import escape
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Row, Window, functions as F
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 
 def flatten(results: DataFrame) -> DataFrame:
@@ -12,34 +14,62 @@ def flatten(results: DataFrame) -> DataFrame:
     return results.select(F.explode("chunks").alias("c")).select("c.*") if "chunks" in results.columns else results
 
 
-def stratified_sample(chunks: DataFrame, size: int = 20, order: tuple[str, ...] = ("doc_id", "chunk_index"), seed: int = 7) -> DataFrame:
+def stratified_sample(chunks: DataFrame, size: int = 20, order: tuple[str, ...] = ("doc_id", "chunk_index"), seed: int | None = 7) -> DataFrame:
     """`size` rows of chunks with position: all of them if they are no more; else the first and last row and the quarters,
     then in order those with a table and the first of each section, until the sample is full; if it isn't, others by a
-    hash. Only keys, positions and flags are sorted, and only the sample's rows are fetched.
+    hash, or in order without a seed. Nulls go last in the order; of rows with equal keys each counts. Only keys, positions
+    and flags are sorted, and only the sample's rows are fetched.
     """
     has = lambda c, kind: F.col(c) if c in chunks.columns else F.lit(None).cast(kind)
-    section = F.coalesce(has("section_hierarchy_string", "string"), F.lit(""))
-    table = F.coalesce(has("has_table", "boolean"), F.lit(False))
-    keys = chunks.select(*order, section.alias("__s"), table.alias("__t"))
-    n = keys.count()
-    placed = _numbered(keys, order)
-    fixed = sorted({0, n // 4, n // 2, 3 * n // 4, n - 1} if n > size else set())
-    # A section counts as seen from its first row that has no table on.
-    first = F.row_number().over(Window.partitionBy("__s", "__t").orderBy("position")) == 1
-    varied = F.col("__t") | ((F.length("__s") > 0) & first)
-    at = F.col("position").isin(fixed) if fixed else F.lit(False)
-    rank = F.when(at, 0).when(varied, 1).otherwise(2)
-    within = F.when(rank == 2, F.xxhash64("position", F.lit(seed))).otherwise(F.col("position"))
-    picked = placed.withColumn("__rank", rank).withColumn("__within", within).orderBy("__rank", "__within").limit(size).select(*order, "position")
-    return chunks.join(F.broadcast(picked), list(order))
-
-
-def _numbered(keys: DataFrame, order: tuple[str, ...]) -> DataFrame:
-    """keys with position from 0 in the order given: sorted over all tasks, numbered within each, and shifted by counts."""
-    parts = keys.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__p", F.spark_partition_id())
-    counts = parts.groupBy("__p").count().withColumn("__before", F.coalesce(F.sum("count").over(Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    numbered = parts.withColumn("__i", F.row_number().over(Window.partitionBy("__p").orderBy(*order)) - 1)
-    return numbered.join(F.broadcast(counts.select("__p", "__before")), "__p").withColumn("position", F.col("__before") + F.col("__i")).drop("__p", "__i", "__before")
+    flags = {"__s": F.coalesce(has("section_hierarchy_string", "string"), F.lit("")), "__t": F.coalesce(has("has_table", "boolean"), F.lit(False))}
+    keys = [*order, *flags]
+    by = [F.asc_nulls_last(c) for c in order]
+    # Sorted once, and kept until the sample is known: sorted again, for counts, tasks would end at other keys.
+    parts = chunks.withColumns(flags).select(*keys).repartitionByRange(*by).sortWithinPartitions(*by, *flags).withColumn("__at", F.monotonically_increasing_id()).persist()
+    try:
+        picked = _picked(parts, size, seed)
+    finally:
+        parts.unpersist()
+    # Rows with equal keys and flags are interchangeable: the sample has as many of them as it has of their positions.
+    seen: Counter = Counter()
+    rows = []
+    for *key, position in picked:
+        seen[tuple(key)] += 1
+        rows.append((*key, seen[tuple(key)], position))
+    fields = [(c, parts.schema[c].dataType) for c in keys]
+    schema = StructType([StructField(f"__{k}", kind) for k, (_, kind) in enumerate(fields)] + [StructField("__tie", IntegerType()), StructField("position", LongType())])
+    wanted = chunks.sparkSession.createDataFrame(rows, schema)
+    same = lambda df: [df[f"__{k}"].eqNullSafe(F.col(c)) for k, c in enumerate(keys)]
+    ones = wanted.where("__tie = 1").drop("__tie", "position")
+    among = Window.partitionBy(*keys).orderBy("content" if "content" in chunks.columns else order[-1])
+    found = chunks.withColumns(flags).join(F.broadcast(ones), same(ones), "left_semi").withColumn("__n", F.row_number().over(among))
+    return found.join(F.broadcast(wanted), [*same(wanted), F.col("__n") == wanted["__tie"]]).select(*chunks.columns, "position")
+
+
+def _picked(parts: DataFrame, size: int, seed: int | None) -> list[Row]:
+    """The sample's rows of parts, in order, with position for __at, whose upper bits number the tasks of the sort."""
+    counts = dict(parts.groupBy(F.shiftright("__at", 33).cast("int").alias("p")).count().collect())
+    before = [0]
+    for p in range(max(counts, default=0)):
+        before.append(before[-1] + counts.get(p, 0))
+    n = sum(counts.values())
+    shift = F.element_at(F.lit(before), F.shiftright("__at", 33).cast("int") + 1)
+    placed = parts.withColumn("position", shift + F.col("__at").bitwiseAND((1 << 33) - 1)).drop("__at")
+    position = F.col("position")
+    least = lambda df: [r.position for r in df.select("position").orderBy("position").limit(size).collect()]
+    if n <= size:
+        chosen = {*range(n)}
+    else:
+        chosen = {0, n // 4, n // 2, 3 * n // 4, n - 1}
+        # A section counts as seen from its first row that has no table on.
+        firsts = placed.where("NOT __t AND length(__s) > 0").groupBy("__s").agg(F.min("position").alias("position"))
+        varied = {*least(placed.where("__t")), *least(firsts)} - chosen
+        chosen |= {*sorted(varied)[: max(0, size - len(chosen))]}
+        if len(chosen) < size:
+            rest = placed.where(~position.isin(chosen))
+            within = position if seed is None else F.xxhash64("position", F.lit(seed))
+            chosen |= {r.position for r in rest.orderBy(within, "position").limit(size - len(chosen)).select("position").collect()}
+    return sorted(placed.where(position.isin(chosen)).collect(), key=lambda r: r.position)[:size]
 
 
 def review_items(sample: DataFrame) -> DataFrame:

@@ -247,6 +247,23 @@ def test_namespaces_by_provider(spark):
     assert got == {0: "rest", 1: "rest", 2: "rest", 3: "pieces_detachees", 4: "pieces_detachees", 5: "pieces_detachees"}
 
 
+def test_positions_of_samples_are_exact(spark):
+    """In many unequal tasks, of which a sort samples only some keys; with repeated and null keys as well."""
+    n = 400_000
+    rows = spark.range(0, n, 1, 16).select((F.col("id") * 7919 % n).alias("at")).where("at % 3 > 0 OR at < 90000")
+    chunks = rows.select(F.expr("at div 8").alias("doc_id"), F.expr("at % 8").alias("chunk_index"), F.concat(F.lit("c"), F.expr("at div 8")).alias("section_hierarchy_string"), F.col("at").cast("string").alias("content"))
+    every = sorted(a for a in range(n) if a % 3 or a < 90000)
+    got = {r.position: int(r.content) for r in review.stratified_sample(chunks, 20).collect()}
+    m = len(every)
+    fixed = [0, m // 4, m // 2, 3 * m // 4, m - 1]
+    assert got == {p: every[p] for p in fixed + [8 * k for k in range(1, 16)]}
+    few = spark.createDataFrame([(1, 1, f"a{i}") for i in range(3)] + [(None, 1, "z"), (1, None, "y")], "doc_id int, chunk_index int, content string")
+    assert sorted((r.position, r.content) for r in review.stratified_sample(few).collect()) == [(0, "a0"), (1, "a1"), (2, "a2"), (3, "y"), (4, "z")]
+    plain = spark.range(50).select(F.lit(1).alias("doc_id"), F.col("id").alias("chunk_index"), F.lit("").alias("content"))
+    assert sorted(r.position for r in review.stratified_sample(plain, 8, seed=None).collect()) == [0, 1, 2, 3, 12, 25, 37, 49]
+    assert review.stratified_sample(plain.where("false")).count() == 0
+
+
 def test_small_samples_are_whole(spark):
     chunks = spark.createDataFrame([(1, i, f"c{i}") for i in range(4)], "doc_id int, chunk_index int, content string")
     assert [r.id for r in review.review_items(review.stratified_sample(chunks)).orderBy("id").collect()] == [0, 1, 2, 3]
