@@ -8,6 +8,8 @@ import unicodedata
 import pyarrow as pa
 from pyspark.sql import Column, functions as F
 
+from quillmill.functions.batches import mapped
+
 
 def _ascii(text: str) -> str:
     return unicodedata.normalize("NFKD", text).encode("ascii", "ignore").decode()
@@ -24,7 +26,7 @@ def label_id(text: str) -> str:
 
 
 def _over(f):
-    return F.arrow_udf(lambda texts: pa.array([None if t is None else f(t) for t in texts.to_pylist()], pa.string()), "string")
+    return F.arrow_udf(lambda texts: mapped(texts, lambda t: None if t is None else f(t), pa.string()), "string")
 
 
 def ascii_slug(text: Column) -> Column:

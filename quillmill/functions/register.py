@@ -6,6 +6,7 @@ import pyarrow as pa
 from pyspark.sql import SparkSession, functions as F
 
 from quillmill.functions import ids, splitting
+from quillmill.functions.batches import mapped
 from quillmill.functions.splitting import Tokenizer, plain_tokens
 
 
@@ -22,7 +23,7 @@ def register(spark: SparkSession, tokenizer: Tokenizer = plain_tokens, embedder=
         from quillmill.operators.embedding import hash_embed as embedder
 
     def over(f, kind, sql):
-        return F.arrow_udf(lambda texts: pa.array([None if t is None else f(t) for t in texts.to_pylist()], kind), sql)
+        return F.arrow_udf(lambda texts: mapped(texts, lambda t: None if t is None else f(t), kind), sql)
 
     spark.udtf.register("split_text", F.udtf(SplitText, returnType="chunk_index int, content string"))
     spark.udf.register("ascii_slug", over(ids.slug, pa.string(), "string"))

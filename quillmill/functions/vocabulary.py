@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, functions as F
 
 from quillmill.functions import patterns as P
+from quillmill.functions.batches import mapped
 
 PLAIN_WORD = "^[a-zA-ZÀ-ÿ]{4,}$"
 #: Whole words that PLAIN_WORD fits; the two signs among its letters aren't parts of words.
@@ -75,11 +76,11 @@ def text_facts(text: Column, n_keywords: int = 5, n_tags: int = 8) -> Column:
         tags, label, confidence = tags_and_label(low, n_tags)
         return {"keywords": keywords(low, n_keywords), "tags": tags, "label": label, "confidence": confidence}
 
-    return F.arrow_udf(lambda texts: pa.array([one(t) for t in texts.to_pylist()], _ARROW), FACTS)(text)
+    return F.arrow_udf(lambda texts: mapped(texts, one, _ARROW), FACTS)(text)
 
 
 def only_keywords(text: Column, most: int = 5) -> Column:
-    return F.arrow_udf(lambda texts: pa.array([keywords((t or "").lower(), most) for t in texts.to_pylist()], pa.list_(pa.string())), "array<string>")(text)
+    return F.arrow_udf(lambda texts: mapped(texts, lambda t: keywords((t or "").lower(), most), pa.list_(pa.string())), "array<string>")(text)
 
 
 def only_tags_and_label(text: Column, most: int = 8) -> Column:
@@ -88,4 +89,4 @@ def only_tags_and_label(text: Column, most: int = 8) -> Column:
     def one(t: str | None) -> dict:
         return dict(zip(("tags", "label", "confidence"), tags_and_label((t or "").lower(), most)))
 
-    return F.arrow_udf(lambda texts: pa.array([one(t) for t in texts.to_pylist()], kind), FACTS.replace("keywords:array<string>,", ""))(text)
+    return F.arrow_udf(lambda texts: mapped(texts, one, kind), FACTS.replace("keywords:array<string>,", ""))(text)

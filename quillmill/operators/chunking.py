@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from quillmill.functions import lines as L, patterns as P, splitting as S
+from quillmill.functions.batches import mapped, spans
 from quillmill.functions.splitting import Sizes, Tokenizer, plain_tokens, split_text
 
 SIZE, OVERLAP = 1000, 200
@@ -50,8 +51,10 @@ def _cut(docs: DataFrame, cutter: Cutter, overlap: int, key: str, carry: tuple[s
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n = batch.num_columns
-            chunks = [one(t, m) for t, m in zip(batch.column(n - 2).to_pylist(), batch.column(n - 1).to_pylist())]
-            yield pa.RecordBatch.from_arrays([*batch.columns[: n - 2], pa.array(chunks, arrow)], names=[*kept, "chunks"])
+            for span in spans(batch.column(n - 2)):
+                part = batch.slice(*span)
+                chunks = pa.array([one(t, m) for t, m in zip(part.column(n - 2).to_pylist(), part.column(n - 1).to_pylist())], arrow)
+                yield pa.RecordBatch.from_arrays([*part.columns[: n - 2], chunks], names=[*kept, "chunks"])
 
     given = docs.select(*kept, F.col("text").alias("__text"), (extra if told else F.lit(None).cast("boolean")).alias("__extra"))
     split = given.mapInArrow(run, f"{schema}, chunks array<struct<{','.join(f'{k}:{v}' for k, v in fields.items())}>>")
@@ -159,7 +162,7 @@ def token_count(text: Column, tokenizer: Tokenizer | None = None) -> Column:
     """Tokens of a text, 0 for null. The default tokenizer's are counted without Python."""
     if tokenizer is None:
         return F.coalesce(F.regexp_count(text, F.lit(r"[\p{L}\p{N}]+|[^\p{L}\p{N}\s]")), F.lit(0))
-    count = F.arrow_udf(lambda texts: pa.array([len(tokenizer(t)) if t else 0 for t in texts.to_pylist()], pa.int32()), "int")
+    count = F.arrow_udf(lambda texts: mapped(texts, lambda t: len(tokenizer(t)) if t else 0, pa.int32()), "int")
     return count(text)
 
 
@@ -169,7 +172,7 @@ def rechunk(chunks: DataFrame, most: int = WINDOW_TOKENS, overlap: int = TOKEN_O
     sub_index counts the parts of a chunk from 0 and is null where it wasn't cut. Other columns go along.
     """
     cutter = tokenizer or plain_tokens
-    parts = F.arrow_udf(lambda texts: pa.array([list(S.token_chunks(t, most, overlap, cutter)) for t in texts.to_pylist()], pa.list_(pa.string())), "array<string>")
+    parts = F.arrow_udf(lambda texts: mapped(texts, lambda t: list(S.token_chunks(t, most, overlap, cutter)), pa.list_(pa.string())), "array<string>")
     counted = chunks.withColumn("token_count", token_count(F.col(col), tokenizer))
     fine = counted.where(F.col("token_count") <= most).withColumn("sub_index", F.lit(None).cast("int"))
     long = counted.where(F.col("token_count") > most)

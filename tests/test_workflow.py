@@ -3,11 +3,14 @@
 import json
 import random
 
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
 from quillmill import __main__ as cli
-from quillmill.operators import embedding, enrichment, extraction, retrieval, review
+from quillmill.functions import batches
+from quillmill.operators import chunking, embedding, enrichment, extraction, retrieval, review
 from quillmill.pipeline import Pipeline, advanced_chunks
 from quillmill.settings import Chunking, NamespaceStrategy, Settings
 from quillmill.sources import files, state
@@ -247,6 +250,31 @@ def test_namespaces_by_provider(spark):
     assert got == {0: "rest", 1: "rest", 2: "rest", 3: "pieces_detachees", 4: "pieces_detachees", 5: "pieces_detachees"}
 
 
+def test_batches_are_cut_a_slice_at_a_time(spark):
+    """One batch of 60 MB: as its chunks come up, the process that cuts it must not grow by as much."""
+
+    def provider(texts):
+        with open("/proc/self/statm") as f:
+            resident = int(f.read().split()[1]) * 4096 // 1_000_000
+        return [[(str(resident), texts[0][:10])]]
+
+    docs = spark.range(0, 3000, 1, 1).select(F.col("id").alias("doc_id"), F.repeat(F.concat(F.lit("w"), F.col("id").cast("string"), F.lit(" ")), 4000).alias("text"))
+    cut = chunking.boundary_chunks(docs, provider)
+    least, most, n, chars = cut.agg(F.min(F.split("chunk_title", " ")[0].cast("int")), F.max(F.split("chunk_title", " ")[0].cast("int")), F.count("*"), F.sum(F.length("content"))).first()
+    assert n == 6000 and chars == docs.agg(F.sum(F.length(F.trim("text")))).first()[0]
+    assert most - least < 100, (least, most)
+
+
+def test_slices_cover_a_batch():
+    texts = pa.array(["a" * 10] * 2500 + [None] * 3 + ["b" * 3_000_000, "", "é" * 600_000, "c" * 600_000])
+    cut = list(batches.spans(texts))
+    assert [a for a, _ in cut] == [0, *(a + n for a, n in cut[:-1])] and sum(n for _, n in cut) == len(texts)
+    assert all(n <= batches.MOST_ROWS and (n == 1 or pc.sum(pc.binary_length(texts.slice(a, n))).as_py() <= batches.MOST_BYTES) for a, n in cut)
+    assert batches.mapped(texts, lambda t: len(t or ""), pa.int32()).to_pylist() == [len(t or "") for t in texts.to_pylist()]
+    assert batches.mapped(texts.slice(5, 3), lambda t: [t], pa.list_(pa.string())).to_pylist() == [["a" * 10]] * 3
+    assert len(batches.mapped(texts[:0], len, pa.int32())) == 0
+
+
 def test_positions_of_samples_are_exact(spark):
     """In many unequal tasks, of which a sort samples only some keys; with repeated and null keys as well."""
     n = 400_000
