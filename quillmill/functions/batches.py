@@ -17,6 +17,7 @@ MOST_BYTES, MOST_ROWS = 1 << 20, 1000
 def spans(texts: pa.Array) -> Iterator[tuple[int, int]]:
     """(begin, length) of slices that cover all rows, nulls as well; a text of more than MOST_BYTES is a slice of its own."""
     begin = held = 0
+    texts = texts.cast(pa.string()) if pa.types.is_null(texts.type) else texts  # a literal NULL has no type
     for k, n in enumerate(pc.binary_length(texts).to_pylist()):
         n = n or 0
         if k > begin and (held + n > MOST_BYTES or k - begin == MOST_ROWS):

@@ -273,6 +273,7 @@ def test_slices_cover_a_batch():
     assert batches.mapped(texts, lambda t: len(t or ""), pa.int32()).to_pylist() == [len(t or "") for t in texts.to_pylist()]
     assert batches.mapped(texts.slice(5, 3), lambda t: [t], pa.list_(pa.string())).to_pylist() == [["a" * 10]] * 3
     assert len(batches.mapped(texts[:0], len, pa.int32())) == 0
+    assert batches.mapped(pa.nulls(2), lambda t: t, pa.string()).to_pylist() == [None, None]
 
 
 def test_positions_of_samples_are_exact(spark):
